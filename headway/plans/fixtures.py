@@ -75,7 +75,7 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         value.cast("float").cast("double").alias("latitude"),
         (-value / 4).cast("float").cast("double").alias("longitude"),
         _unless(key, 3, (key % 360).cast("double")).alias("bearing"),
-        _unless(key, 4, (user / 8).cast("double"), 1).alias("speed"),
+        _unless(key, 4, (user / 8).cast("float").cast("double"), 1).alias("speed"),
     )
     seconds = F.when(key % 13 == 0, F.lit(0)).otherwise(epoch_seconds(F.col("ts")))
     vehicle = F.struct(
