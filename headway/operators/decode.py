@@ -2,13 +2,15 @@
 
 The wire decode is the one step without a built-in expression in a plain Spark
 distribution.  It runs in ``mapInArrow`` on whichever partitions the scan
-produced, so it adds no shuffle, and it hands nested Arrow columns back.  What
-an absent field means is decided afterwards, in projections.
+produced, so it adds no shuffle, and it hands nested Arrow columns back, built
+column by column from the schema.  What an absent field means is decided
+afterwards, in projections.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,12 +19,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from headway.lookups import TRIP_UPDATES, VEHICLE_POSITIONS
-from headway.schemas import DECODED
+from headway.schemas import DECODED, ENTITY, HEADER
 from headway.sources.wire import feed_message_class
 
 # An output batch is closed once it holds this many entities.
 ENTITIES_PER_BATCH = 20_000
-_MAX_BIGINT = 2**63 - 1
+
+_HEADER, _ENTITY = to_arrow_type(HEADER), to_arrow_type(ENTITY)
+_NO_HEADER, _NO_ENTITIES = pa.nulls(1, _HEADER), pa.nulls(0, _ENTITY)
+_OTHER_PAYLOAD = {VEHICLE_POSITIONS: "trip_update", TRIP_UPDATES: "vehicle"}
 
 
 def decode(df: DataFrame, content: str = "content", feed_type: Column | None = None) -> DataFrame:
@@ -69,136 +74,72 @@ def _decode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     feed_message = feed_message_class()
     for batch in batches:
         carried = batch.drop_columns(["_content", "_kind"])
-        start, rows, held = 0, [], 0
-        snapshots = zip(batch.column("_content"), batch.column("_kind").to_pylist())
-        for index, (content, kind) in enumerate(snapshots):
-            rows.append(_decode_one(feed_message, content.as_py(), kind))
-            held += len(rows[-1][1])
+        kinds = batch.column("_kind").to_pylist()
+        start, snapshots, held = 0, [], 0
+        for index, content in enumerate(batch.column("_content")):
+            snapshots.append(_decode_one(feed_message, content.as_py(), kinds[index]))
+            held += len(snapshots[-1][1])
             if held >= ENTITIES_PER_BATCH:
-                yield _to_batch(carried.slice(start, len(rows)), rows)
-                start, rows, held = index + 1, [], 0
-        if rows:
-            yield _to_batch(carried.slice(start, len(rows)), rows)
+                yield _to_batch(carried.slice(start, len(snapshots)), snapshots)
+                start, snapshots, held = index + 1, [], 0
+        if snapshots:
+            yield _to_batch(carried.slice(start, len(snapshots)), snapshots)
 
 
 def _decode_one(feed_message: type, content: bytes | None, kind: str | None) -> tuple:
-    """One snapshot as ``(header, entities, error)``, in the order of the schemas."""
+    """One snapshot as Arrow: its header (length 1), its entities, and an error text."""
     try:
         if kind not in (None, VEHICLE_POSITIONS, TRIP_UPDATES):
             raise ValueError(f"no parser for feed type {kind}")
         feed = feed_message()
         feed.ParseFromString(content or b"")
-        found = []
-        for entity in feed.entity:
-            vehicle = trip_update = None
-            if kind != TRIP_UPDATES and entity.HasField("vehicle"):
-                vehicle = _vehicle(entity.vehicle)
-            if kind != VEHICLE_POSITIONS and entity.HasField("trip_update"):
-                trip_update = _trip_update(entity.trip_update)
-            found.append((_text(entity.id), vehicle, trip_update))
-        header = (_text(feed.header.gtfs_realtime_version), _bigint(feed.header.timestamp))
-        return header, found, None
+        # The stored header has the wire defaults where a field is unset.
+        for name in _HEADER.names:
+            setattr(feed.header, name, getattr(feed.header, name))
+        skipped = _OTHER_PAYLOAD.get(kind)
+        return _struct([feed.header], _HEADER), _struct(feed.entity, _ENTITY, skipped), None
     except Exception as problem:  # any bad snapshot is a row, never a failed task
-        return None, (), f"{type(problem).__name__}: {problem}"
-
-
-def _text(value: str | bytes) -> str:
-    # The runtime returns bytes for text that is not UTF-8.
-    return value if type(value) is str else value.decode("utf-8")
-
-
-def _bigint(value: int) -> int:
-    if value > _MAX_BIGINT:
-        raise ValueError(f"{value} does not fit BIGINT")
-    return value
-
-
-def _leaf(message, name: str):
-    return getattr(message, name) if message.HasField(name) else None
-
+        return _NO_HEADER, _NO_ENTITIES, f"{type(problem).__name__}: {problem}"
 
-def _text_leaf(message, name: str) -> str | None:
-    return _text(getattr(message, name)) if message.HasField(name) else None
 
+def _struct(messages: Sequence, kind: pa.StructType, skipped: str | None = None) -> pa.Array:
+    """Messages, or ``None`` for absent ones, to one Arrow struct array, field by field.
 
-def _trip(message) -> tuple | None:
-    if not message.HasField("trip"):
-        return None
-    trip = message.trip
-    return _text_leaf(trip, "trip_id"), _text_leaf(trip, "route_id")
-
-
-def _vehicle(vehicle) -> tuple:
-    descriptor = position = None
-    if vehicle.HasField("vehicle"):
-        descriptor = (_text_leaf(vehicle.vehicle, "id"),)
-    if vehicle.HasField("position"):
-        position = tuple(
-            _leaf(vehicle.position, name)
-            for name in ("latitude", "longitude", "bearing", "speed")
-        )
-    return (
-        _trip(vehicle),
-        descriptor,
-        position,
-        _bigint(vehicle.timestamp) if vehicle.HasField("timestamp") else None,
-        _leaf(vehicle, "current_stop_sequence"),
-        _leaf(vehicle, "current_status"),
-        _text_leaf(vehicle, "stop_id"),
+    Field names of the schema are field names of the wire.
+    """
+    columns = []
+    for field in kind:
+        name = field.name
+        if name == skipped:
+            columns.append(pa.nulls(len(messages), field.type))
+        elif pa.types.is_list(field.type):
+            lists = [() if message is None else getattr(message, name) for message in messages]
+            offsets = pa.array(accumulate(map(len, lists), initial=0), pa.int32())
+            items = _struct(list(chain.from_iterable(lists)), field.type.value_type)
+            columns.append(pa.ListArray.from_arrays(offsets, items, type=field.type))
+        else:
+            values = [
+                getattr(message, name) if message is not None and message.HasField(name) else None
+                for message in messages
+            ]
+            if values.count(None) == len(values):
+                columns.append(pa.nulls(len(values), field.type))
+            elif pa.types.is_struct(field.type):
+                columns.append(_struct(values, field.type))
+            else:
+                columns.append(pa.array(values, field.type))
+    absent = pa.array([message is None for message in messages], pa.bool_())
+    return pa.StructArray.from_arrays(columns, fields=list(kind), mask=absent)
+
+
+def _to_batch(carried: pa.RecordBatch, snapshots: list[tuple]) -> pa.RecordBatch:
+    headers, entity_lists, errors = zip(*snapshots)
+    offsets = pa.array(accumulate(map(len, entity_lists), initial=0), pa.int32())
+    bad = pa.array([error is not None for error in errors], pa.bool_())
+    entity_column = pa.ListArray.from_arrays(
+        offsets, pa.concat_arrays(entity_lists), type=pa.list_(_ENTITY), mask=bad
     )
-
-
-def _stop_time_event(update, name: str) -> tuple | None:
-    if not update.HasField(name):
-        return None
-    event = getattr(update, name)
-    return _leaf(event, "time"), _leaf(event, "delay")
-
-
-def _trip_update(update) -> tuple:
-    return (
-        _trip(update),
-        _bigint(update.timestamp) if update.HasField("timestamp") else None,
-        [
-            (
-                _leaf(stop, "stop_sequence"),
-                _text_leaf(stop, "stop_id"),
-                _stop_time_event(stop, "arrival"),
-                _stop_time_event(stop, "departure"),
-            )
-            for stop in update.stop_time_update
-        ],
+    columns = [pa.concat_arrays(headers), entity_column, pa.array(errors, pa.string())]
+    return pa.RecordBatch.from_arrays(
+        carried.columns + columns, carried.schema.names + DECODED.names
     )
-
-
-def _to_batch(carried: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-    arrays, names = list(carried.columns), list(carried.schema.names)
-    for field, values in zip(DECODED.fields, zip(*rows)):
-        arrays.append(_to_arrow(values, to_arrow_type(field.dataType)))
-        names.append(field.name)
-    return pa.RecordBatch.from_arrays(arrays, names)
-
-
-def _to_arrow(values: Iterable, kind: pa.DataType) -> pa.Array:
-    """Nested tuples and lists to Arrow, column by column."""
-    if pa.types.is_struct(kind):
-        blank = (None,) * kind.num_fields
-        columns = list(zip(*[blank if value is None else value for value in values]))
-        columns = columns or [()] * kind.num_fields
-        return pa.StructArray.from_arrays(
-            [_to_arrow(columns[i], kind.field(i).type) for i in range(kind.num_fields)],
-            fields=[kind.field(i) for i in range(kind.num_fields)],
-            mask=pa.array([value is None for value in values], pa.bool_()),
-        )
-    if pa.types.is_list(kind):
-        offsets = [0]
-        for value in values:
-            offsets.append(offsets[-1] + len(value or ()))
-        flat = [item for value in values for item in value or ()]
-        return pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()),
-            _to_arrow(flat, kind.value_type),
-            type=kind,
-            mask=pa.array([value is None for value in values], pa.bool_()),
-        )
-    return pa.array(values, kind)

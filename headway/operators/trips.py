@@ -35,7 +35,7 @@ def trip_update_fields(entity_id: Column, update: Column) -> dict[str, Column]:
         "id": entity_id,
         "trip_id": under(update["trip"], "trip_id", ""),
         "route_id": under(update["trip"], "route_id", ""),
-        "stop_time_updates": F.transform(update["stop_time_updates"], stop_time),
+        "stop_time_updates": F.transform(update["stop_time_update"], stop_time),
         "timestamp": update["timestamp"],
     }
 

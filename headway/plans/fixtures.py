@@ -165,46 +165,67 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw snapshots -----------------------------------------------------------
 
 
-def _fill(message, values: dict) -> None:
-    """Copy nested values into a message; a null leaves its field unset."""
-    for name, value in values.items():
-        if isinstance(value, dict):
-            child = getattr(message, name)
-            child.SetInParent()
-            _fill(child, value)
-        elif value is not None:
-            setattr(message, name, value)
+def _fill(messages: list, columns: pa.StructArray) -> None:
+    """Copy a struct array into as many messages; a null leaves its field unset."""
+    for field, column in zip(columns.type, columns.flatten()):
+        there = column.is_valid().to_numpy(zero_copy_only=False).nonzero()[0].tolist()
+        if pa.types.is_struct(field.type):
+            children = [getattr(messages[row], field.name) for row in there]
+            for child in children:
+                child.SetInParent()
+            _fill(children, column.drop_null())
+        else:
+            values = column.drop_null().to_numpy(zero_copy_only=False).tolist()
+            for row, value in zip(there, values):
+                setattr(messages[row], field.name, value)
 
 
 def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by feed and entity to one message per feed."""
     feed_message = feed_message_class()
-    feed = feed_no = entity = None
+    feed = entity = feed_no = None
     held = 0
 
-    def close() -> pa.RecordBatch:
+    def closed(messages: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
-            {"feed_no": [feed_no], "content": [feed.SerializePartialToString()]},
-            schema=pa.schema([("feed_no", pa.int64()), ("content", pa.binary())]),
+            {
+                "feed_no": pa.array([number for number, _ in messages], pa.int64()),
+                "content": pa.array(
+                    [message.SerializePartialToString() for _, message in messages], pa.binary()
+                ),
+            }
         )
 
     for batch in batches:
-        for row in batch.to_pylist():
-            if feed is not None and (row["feed_no"] != feed_no or held >= RECORDS_PER_MESSAGE):
-                yield close()
-                feed = None
-            if feed is None:
-                feed, feed_no, entity, held = feed_message(), row["feed_no"], None, 0
+        done, owners, first_rows = [], [], []
+        keys = (batch.column(name).to_pylist() for name in ("feed_no", "id", "header_timestamp"))
+        for row, (number, entity_id, seconds) in enumerate(zip(*keys)):
+            if feed is None or number != feed_no or held >= RECORDS_PER_MESSAGE:
+                if feed is not None:
+                    done.append((feed_no, feed))
+                feed, feed_no, entity, held = feed_message(), number, None, 0
                 feed.header.gtfs_realtime_version = "2.0"
-                if row["header_timestamp"] is not None:
-                    feed.header.timestamp = row["header_timestamp"]
-            if entity is None or entity.id != row["id"]:
-                entity = feed.entity.add(id=row["id"])
-                _fill(entity, {name: row.get(name) for name in ("vehicle", "trip_update")})
-            if row.get("update") is not None:
-                _fill(entity.trip_update.stop_time_update.add(), row["update"])
+                if seconds is not None:
+                    feed.header.timestamp = seconds
+            if entity is None or entity.id != entity_id:
+                entity = feed.entity.add(id=entity_id)
+                first_rows.append(row)
+            owners.append(entity)
             held += 1
+
+        records = batch.to_struct_array()
+        payloads = [name for name in ("vehicle", "trip_update") if name in batch.schema.names]
+        payload = pa.StructArray.from_arrays([records.field(name) for name in payloads], payloads)
+        _fill([owners[row] for row in first_rows], payload.take(pa.array(first_rows, pa.int64())))
+        if "update" in batch.schema.names:
+            updates = records.field("update")
+            there = updates.is_valid().to_numpy(zero_copy_only=False).nonzero()[0]
+            stops = [owners[row].trip_update.stop_time_update.add() for row in there]
+            _fill(stops, updates.drop_null())
+        if done:
+            yield closed(done)
     if feed is not None:
-        yield close()
+        yield closed([(feed_no, feed)])
 
 
 def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:

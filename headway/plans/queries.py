@@ -13,6 +13,7 @@ from headway.operators import decode as dec
 from headway.operators import snapshots as snap
 from headway.operators import stats, trips, vehicles
 from headway.plans import fixtures as fix
+from headway.schemas import STOP_TIME
 from headway.session import scratch_path
 from headway.sinks import with_day, write_daily, write_parsed
 from headway.sinks.tables import DAY
@@ -392,13 +393,11 @@ def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bare_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip entities in the decoded shape, with no stop times."""
-    update = F.col("trip_update").withField("stop_time_updates", _no_stop_times())
+    update = F.col("trip_update").withField("stop_time_update", _no_stop_times())
     return fix.trip_entities(spark, sf_dir).withColumn("trip_update", update)
 
 
 def _no_stop_times() -> Column:
-    from headway.schemas import STOP_TIME
-
     return F.from_json(F.lit("[]"), f"array<{STOP_TIME.simpleString()}>")
 
 

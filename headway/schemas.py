@@ -16,8 +16,8 @@ RAW_FILE = _struct(
 
 HEADER = _struct(gtfs_realtime_version=_str, timestamp=_long)
 
-# Decoded entities keep wire presence: an absent parent is a null struct, an
-# unset leaf is a null.  Defaults are applied later, by the projections.
+# Decoded entities keep wire names and wire presence: an absent parent is a null
+# struct, an unset leaf is a null.  Projections apply names and defaults later.
 TRIP_DESCRIPTOR = _struct(trip_id=_str, route_id=_str)
 POSITION = _struct(latitude=_double, longitude=_double, bearing=_double, speed=_double)
 STOP_TIME_EVENT = _struct(time=_long, delay=_int)
@@ -34,7 +34,7 @@ STOP_TIME = _struct(
     stop_sequence=_long, stop_id=_str, arrival=STOP_TIME_EVENT, departure=STOP_TIME_EVENT
 )
 TRIP_UPDATE = _struct(
-    trip=TRIP_DESCRIPTOR, timestamp=_long, stop_time_updates=T.ArrayType(STOP_TIME)
+    trip=TRIP_DESCRIPTOR, timestamp=_long, stop_time_update=T.ArrayType(STOP_TIME)
 )
 ENTITY = _struct(id=_str, vehicle=VEHICLE, trip_update=TRIP_UPDATE)
 DECODED = _struct(header=HEADER, entities=T.ArrayType(ENTITY), decode_error=_str)

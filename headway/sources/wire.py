@@ -5,8 +5,6 @@ Fields that are not listed stay in the message as unknown fields.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 # Field numbers, labels and types of the public definition (proto2).
 MESSAGES = """
 message FeedMessage       1 header required FeedHeader
@@ -43,9 +41,9 @@ message VehicleDescriptor 1 id optional string
 STOP_STATUS = ("INCOMING_AT", "STOPPED_AT", "IN_TRANSIT_TO")
 
 
-@lru_cache(maxsize=1)
+
 def feed_message_class() -> type:
-    """Message class for a whole feed, built once per Python worker."""
+    """Message class for a whole feed; built inside each task, as it cannot be shipped."""
     try:
         from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
     except ImportError as missing:
