@@ -24,7 +24,13 @@ def departure_time(digits: Column) -> Column:
     """``HH:MM:SS`` cut from the first six characters; shorter text stays as it is."""
     return F.when(
         F.length(digits) >= 6,
-        F.concat_ws(":", *[F.substring(digits, start, 2) for start in (1, 3, 5)]),
+        F.concat(
+            F.substring(digits, 1, 2),
+            F.lit(":"),
+            F.substring(digits, 3, 2),
+            F.lit(":"),
+            F.substring(digits, 5, 2),
+        ),
     ).otherwise(digits)
 
 

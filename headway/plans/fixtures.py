@@ -198,6 +198,9 @@ def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         done, owners, first_rows = [], [], []
+        records = batch.to_struct_array()
+        updates = records.field("update") if "update" in batch.schema.names else None
+        adds = [False] * len(batch) if updates is None else updates.is_valid().to_pylist()
         keys = (batch.column(name).to_pylist() for name in ("feed_no", "id", "header_timestamp"))
         for row, (number, entity_id, seconds) in enumerate(zip(*keys)):
             if feed is None or number != feed_no or held >= RECORDS_PER_MESSAGE:
@@ -207,20 +210,20 @@ def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 feed.header.gtfs_realtime_version = "2.0"
                 if seconds is not None:
                     feed.header.timestamp = seconds
-            if entity is None or entity.id != entity_id:
+            # Only a further stop time continues a trip; any other row is its own record.
+            if not adds[row] or entity is None or entity.id != entity_id:
                 entity = feed.entity.add(id=entity_id)
                 first_rows.append(row)
             owners.append(entity)
             held += 1
 
-        records = batch.to_struct_array()
         payloads = [name for name in ("vehicle", "trip_update") if name in batch.schema.names]
         payload = pa.StructArray.from_arrays([records.field(name) for name in payloads], payloads)
         _fill([owners[row] for row in first_rows], payload.take(pa.array(first_rows, pa.int64())))
-        if "update" in batch.schema.names:
-            updates = records.field("update")
-            there = updates.is_valid().to_numpy(zero_copy_only=False).nonzero()[0]
-            stops = [owners[row].trip_update.stop_time_update.add() for row in there]
+        if updates is not None:
+            stops = [
+                owner.trip_update.stop_time_update.add() for owner, add in zip(owners, adds) if add
+            ]
             _fill(stops, updates.drop_null())
         if done:
             yield closed(done)

@@ -272,7 +272,7 @@ FROM file""",
 WITH {VEHICLES}, {TRIPS}, both_kinds AS (
   SELECT feed_no, id, trip_id, route_id, "timestamp", 'vehicle_positions' AS feed_type FROM vp
   UNION ALL
-  SELECT feed_no, id, trip_id, route_id, "timestamp", 'trip_updates' FROM trip)
+  SELECT DISTINCT feed_no, id, trip_id, route_id, "timestamp", 'trip_updates' FROM trip)
 SELECT id, trip_id, route_id, "timestamp", feed_type,
   {STAMP.format("%Y")} AS year, {STAMP.format("%m")} AS month, {STAMP.format("%d")} AS day,
   feed_type || '_' || {STAMP.format("%Y%m%d_%H%M%S")} || '.pb' AS filename

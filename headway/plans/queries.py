@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from headway import functions as H
 from headway.functions.trip_ids import TRIP_FIELDS
@@ -416,33 +417,34 @@ def daily_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("feed_type", "size", *DAY, key.alias("object_key"))
 
 
-@query
-def stream_vehicles_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table as a stream, taken in by several micro-batches."""
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[StreamingQuery, str]:
     landing = _written(spark, fix.raw_vehicles(spark, sf_dir), "stream-landing")
     target, state = scratch_path(spark, "stream-vehicles"), scratch_path(spark, "stream-state")
     raw = read_raw_stream(spark, landing, "parquet")
-    stream_vehicles(raw, target, state, once()).awaitTermination()
+    running = stream_vehicles(raw, target, state, once())
+    running.awaitTermination()
+    return running, target
+
+
+@query
+def stream_vehicles_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table taken in as a stream, then read back."""
+    _, target = _streamed(spark, sf_dir)
     rows = spark.read.parquet(target)
     shaped = rows.withColumn("feed_no", _feed_no(H.snapshot_epoch(F.col("path"))))
     return _flat(shaped.drop("path", "entity_pos"))
 
 
-def _ingested(spark: SparkSession, sf_dir: str):
+@query
+def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles and trips of one ingestion, by day; parts of one trip count once."""
     landing = scratch_path(spark, "ingest-landing")
     for raw in (fix.raw_vehicles(spark, sf_dir), fix.raw_trips(spark, sf_dir)):
         raw.drop("feed_no").write.mode("append").parquet(landing)
     target, state = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-state")
-    running = ingest_snapshots(read_raw_stream(spark, landing, "parquet"), target, state, once())
-    running.awaitTermination()
-    return running, target
-
-
-@query
-def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicles and trips of one ingestion, by day; parts of one trip count once."""
-    _, target = _ingested(spark, sf_dir)
-    columns = ("path", "year", "month", "day", "id", "trip_id", "route_id", "timestamp")
+    raw = read_raw_stream(spark, landing, "parquet")
+    ingest_snapshots(raw, target, state, once()).awaitTermination()
+    columns = ("path", *DAY, "id", "trip_id", "route_id", "timestamp")
     union = snap.union_feeds(
         read_ingested(spark, target, "vehicles").select(*columns),
         read_ingested(spark, target, "trips").select(*columns).distinct(),
@@ -452,6 +454,6 @@ def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress of one ingestion."""
-    running, _ = _ingested(spark, sf_dir)
+    """Progress of a stream that takes the raw table in."""
+    running, _ = _streamed(spark, sf_dir)
     return status_frame(running)

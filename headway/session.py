@@ -14,6 +14,9 @@ SETTINGS = {
     # Snapshots are whole messages in one binary column, so the byte bound is
     # what keeps an Arrow batch small; the row bound alone would not.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # The JVM never compiles a method above 8000 bytes; a wide projection that would
+    # become one is run as several smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -65,7 +65,9 @@ def ingest_snapshots(
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         def write(df: DataFrame, table: str) -> None:
-            write_daily(df, f"{target}/{table}/batch_id={batch_id}", mode="overwrite")
+            # A micro-batch spans few days, so it is written as it lies, without a shuffle.
+            path = f"{target}/{table}/batch_id={batch_id}"
+            write_daily(df, path, mode="overwrite", rebalance=False)
 
         def written(table: str) -> DataFrame:
             reader = spark.read.schema(SCHEMAS[table])
