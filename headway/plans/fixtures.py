@@ -52,10 +52,9 @@ def captured_at(feed_no: Column) -> Column:
 # --- vehicles, from events -------------------------------------------------
 
 
-def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded entities; those of ``error`` events carry no vehicle."""
-    events = table(spark, sf_dir, "events")
-    key, user = F.col("event_id"), F.col("user_id")
+def _vehicle_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves of each entity, null where unset, and which of its parts are present."""
+    key, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
     route = _pick(ROUTES, user % 6)
     digits = _digits(F.col("ts"))
     tail = F.concat(
@@ -70,36 +69,66 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 17 == 4, F.concat(digits, F.lit("_7..")))
         .otherwise(F.concat(digits, F.lit("_"), route, F.lit(".."), tail))
     )
-    value = F.col("value")
-    position = F.struct(
-        value.cast("float").cast("double").alias("latitude"),
-        (-value / 4).cast("float").cast("double").alias("longitude"),
-        _unless(key, 3, (key % 360).cast("double")).alias("bearing"),
-        _unless(key, 4, (user / 8).cast("float").cast("double"), 1).alias("speed"),
-    )
     seconds = F.when(key % 13 == 0, F.lit(0)).otherwise(epoch_seconds(F.col("ts")))
+    leaves = {
+        "feed_no": F.expr(f"event_id div {VEHICLES_PER_FEED}"),
+        "entity_pos": key % VEHICLES_PER_FEED,
+        "id": F.lpad(key.cast("string"), 12, "0"),
+        "has_vehicle": F.col("event_type") != "error",
+        "has_trip": key % 17 != 0,
+        "has_descriptor": key % 10 != 0,
+        "has_position": key % 11 != 0,
+        "trip_id": trip_id,
+        "route_id": _unless(key, 19, route),
+        "vehicle_id": _unless(key, 23, F.concat(F.lit("V"), user.cast("string"))),
+        "latitude": value.cast("float").cast("double"),
+        "longitude": (-value / 4).cast("float").cast("double"),
+        "bearing": _unless(key, 3, (key % 360).cast("double")),
+        "speed": _unless(key, 4, (user / 8).cast("float").cast("double"), 1),
+        "timestamp": _unless(key, 29, seconds).cast("bigint"),
+        "current_stop_sequence": _unless(key, 31, user % 40),
+        "current_status": _unless(key, 37, key % 3).cast("int"),
+        "stop_id": _unless(key, 41, F.concat((user % 30).cast("string"), F.lit("N"))),
+    }
+    events = table(spark, sf_dir, "events")
+    return events.select(*[leaf.alias(name) for name, leaf in leaves.items()])
+
+
+POSITION = ("latitude", "longitude", "bearing", "speed")
+OWN_LEAVES = ("timestamp", "current_stop_sequence", "current_status", "stop_id")
+
+
+def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded entities; those of ``error`` events carry no vehicle."""
     vehicle = F.struct(
-        _unless(
-            key,
-            17,
-            F.struct(trip_id.alias("trip_id"), _unless(key, 19, route).alias("route_id")),
-        ).alias("trip"),
-        _unless(
-            key,
-            10,
-            F.struct(_unless(key, 23, F.concat(F.lit("V"), user.cast("string"))).alias("id")),
-        ).alias("vehicle"),
-        _unless(key, 11, position).alias("position"),
-        _unless(key, 29, seconds).cast("bigint").alias("timestamp"),
-        _unless(key, 31, user % 40).alias("current_stop_sequence"),
-        _unless(key, 37, key % 3).cast("int").alias("current_status"),
-        _unless(key, 41, F.concat((user % 30).cast("string"), F.lit("N"))).alias("stop_id"),
+        F.when(F.col("has_trip"), F.struct("trip_id", "route_id")).alias("trip"),
+        F.when(F.col("has_descriptor"), F.struct(F.col("vehicle_id").alias("id"))).alias(
+            "vehicle"
+        ),
+        F.when(F.col("has_position"), F.struct(*POSITION)).alias("position"),
+        *OWN_LEAVES,
     )
-    return events.select(
-        F.expr(f"event_id div {VEHICLES_PER_FEED}").alias("feed_no"),
-        (key % VEHICLES_PER_FEED).alias("entity_pos"),
-        F.lpad(key.cast("string"), 12, "0").alias("id"),
-        F.when(F.col("event_type") != "error", vehicle).alias("vehicle"),
+    return _vehicle_leaves(spark, sf_dir).select(
+        "feed_no", "entity_pos", "id", F.when(F.col("has_vehicle"), vehicle).alias("vehicle")
+    )
+
+
+def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicle rows, flat from the start, so that a scan reads used columns only."""
+    leaves = _vehicle_leaves(spark, sf_dir).filter("has_vehicle")
+
+    def under(part: str, name: str, default: object) -> Column:
+        return F.when(F.col(part), F.coalesce(name, F.lit(default))).alias(name)
+
+    return leaves.select(
+        "feed_no",
+        "entity_pos",
+        "id",
+        under("has_descriptor", "vehicle_id", ""),
+        under("has_trip", "trip_id", ""),
+        under("has_trip", "route_id", ""),
+        *[under("has_position", name, 0.0) for name in POSITION],
+        *OWN_LEAVES,
     )
 
 

@@ -38,11 +38,6 @@ def query(run: Query) -> Query:
     return run
 
 
-def _vehicles(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
-    entities = fix.vehicle_entities(spark, sf_dir)
-    return vehicles.project_vehicles(entities, *(keys or ("feed_no",)))
-
-
 def _flat(rows: DataFrame) -> DataFrame:
     """Vehicle rows with the position as plain columns."""
     columns = [name for name in rows.columns if name != "position"]
@@ -82,27 +77,28 @@ def _feed_no(captured_at: Column) -> Column:
 
 @query
 def interpret_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_trip_info(_flat(vehicles.interpret_vehicles(_vehicles(spark, sf_dir))))
+    rows = fix.vehicles(spark, sf_dir).drop("entity_pos")
+    return _flat_trip_info(vehicles.interpret_vehicles(rows))
 
 
 @query
 def route_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     route_id = F.col("route_id")
-    return _vehicles(spark, sf_dir).select(
+    return fix.vehicles(spark, sf_dir).select(
         "id", "route_id", F.when(route_id != "", H.route_name(route_id)).alias("route_name")
     )
 
 
 @query
 def route_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _vehicles(spark, sf_dir).select("id", "route_id")
+    rows = fix.vehicles(spark, sf_dir).select("id", "route_id")
     return vehicles.with_route_names(rows, routes(spark))
 
 
 @query
 def routes_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All known routes, with the vehicles seen on each."""
-    seen = snap.count_by_feed(_vehicles(spark, sf_dir), "route_id", "vehicle_count")
+    seen = snap.count_by_feed(fix.vehicles(spark, sf_dir), "route_id", "vehicle_count")
     return (
         routes(spark)
         .join(seen, "route_id", "left")
@@ -124,7 +120,7 @@ def direction_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trip_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _vehicles(spark, sf_dir)
+    rows = fix.vehicles(spark, sf_dir)
     parsed = rows.select("id", H.parse_trip_id(F.col("trip_id")).alias("trip"))
     return parsed.select("id", *[F.col(f"trip.{name}") for name in TRIP_FIELDS])
 
@@ -132,7 +128,7 @@ def trip_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trip_parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = H.parse_trip_id(F.col("trip_id"))
-    rows = _vehicles(spark, sf_dir).select("id", "trip_id", parsed["error"].alias("error"))
+    rows = fix.vehicles(spark, sf_dir).select("id", "trip_id", parsed["error"].alias("error"))
     return rows.filter(F.col("error").isNotNull())
 
 
@@ -148,7 +144,7 @@ def departure_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def timestamp_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
     readable = H.timestamp_readable(F.col("timestamp"))
-    return _vehicles(spark, sf_dir).select(
+    return fix.vehicles(spark, sf_dir).select(
         "id", "timestamp", readable.alias("timestamp_readable")
     )
 
@@ -207,7 +203,9 @@ def entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vehicle_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_vehicles(spark, sf_dir))
+    """Entities in the decoded shape to vehicle rows."""
+    entities = fix.vehicle_entities(spark, sf_dir)
+    return _flat(vehicles.project_vehicles(entities, "feed_no"))
 
 
 @query
@@ -341,7 +339,7 @@ def interpret_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vehicle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snap.count_by_feed(_vehicles(spark, sf_dir), "feed_no", "vehicle_count")
+    return snap.count_by_feed(fix.vehicles(spark, sf_dir), "feed_no", "vehicle_count")
 
 
 @query
@@ -379,7 +377,7 @@ def latest20_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def first50_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _vehicles(spark, sf_dir, "feed_no", "entity_pos")
+    rows = fix.vehicles(spark, sf_dir)
     narrow = rows.select("feed_no", "entity_pos", "id", "trip_id", "route_id")
     return vehicles.first_vehicles(narrow, "feed_no", "entity_pos")
 
@@ -388,7 +386,7 @@ def first50_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = trips.project_trips(_bare_trips(spark, sf_dir), "feed_no")
     return snap.union_feeds(
-        _vehicles(spark, sf_dir).select(*RECORD), updates.select(*RECORD)
+        fix.vehicles(spark, sf_dir).select(*RECORD), updates.select(*RECORD)
     )
 
 
