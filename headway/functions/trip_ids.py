@@ -38,41 +38,38 @@ def split_trip_id(trip_id: Column) -> dict[str, Column]:
     """Cut a trip id into its departure, route and tail, and name what is wrong with it.
 
     ``substring_index`` from the left finds the first separator only, and the tail
-    starts behind it, so runs of dots split left to right without overlap.
+    starts behind it, so runs of dots split left to right without overlap.  The pieces
+    of a faulty id are null, and so is all that is made from them.
     """
-    body = F.substring_index(F.substring_index(trip_id, "_", 2), "_", -1)
+    has_parts = F.contains(trip_id, F.lit(".")) & F.contains(trip_id, F.lit("_"))
+    second = F.substring_index(F.substring_index(trip_id, "_", 2), "_", -1)
+    has_direction = F.contains(second, F.lit(".."))
+    body = F.when(has_parts & has_direction, second)
     route = F.substring_index(body, "..", 1)
-    tail = F.substring_index(F.substr(body, F.length(route) + 3), "..", 1)
-    well_formed = F.contains(trip_id, F.lit(".")) & F.contains(trip_id, F.lit("_"))
     return {
-        "departure": F.substring_index(trip_id, "_", 1),
+        "departure": F.when(body.isNotNull(), F.substring_index(trip_id, "_", 1)),
         "route": route,
-        "tail": tail,
-        "error": F.when(~F.coalesce(well_formed, F.lit(False)), BAD_TRIP_ID).when(
-            ~F.contains(body, F.lit("..")), BAD_ROUTE_DIRECTION
+        "tail": F.substring_index(F.substr(body, F.length(route) + 3), "..", 1),
+        "error": F.when(~F.coalesce(has_parts, F.lit(False)), BAD_TRIP_ID).when(
+            ~has_direction, BAD_ROUTE_DIRECTION
         ),
     }
 
 
 def trip_fields(raw: Column, cut: dict[str, Column]) -> dict[str, Column]:
     """The eight output fields from the pieces of :func:`split_trip_id`."""
-    fine = cut["error"].isNull()
     tail = cut["tail"]
     code = F.when(tail != "", F.substring(tail, 1, 1))
-    rest = F.when(F.length(tail) > 1, F.substr(tail, F.lit(2)))
-    fields = {
+    return {
+        "raw": raw,
         "departure_time": departure_time(cut["departure"]),
         "route_id": cut["route"],
         "route_name": route_name(cut["route"]),
         "direction": direction_name(code),
         "direction_code": code,
-        "destination_code": rest,
+        "destination_code": F.when(F.length(tail) > 1, F.substr(tail, F.lit(2))),
+        "error": cut["error"],
     }
-    return (
-        {"raw": raw}
-        | {name: F.when(fine, value) for name, value in fields.items()}
-        | {"error": cut["error"]}
-    )
 
 
 def parse_trip_id(trip_id: Column) -> Column:
