@@ -86,7 +86,14 @@ def with_stop_names(df: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """
     if stops is None:
         return df.withColumn("stop_name", stop_name(F.col("stop_id")))
-    named = stops.groupBy("stop_id").agg(F.min("stop_name").alias("_known"))
+    # Grouping by the reversed id leaves the join a shuffle of its own on both sides.
+    # Adaptive execution splits a hot key only where the join reads its shuffles
+    # directly, which an aggregation by the join key itself would prevent.
+    named = (
+        stops.groupBy(F.reverse("stop_id"))
+        .agg(F.min("stop_id").alias("stop_id"), F.min("stop_name").alias("_known"))
+        .select("stop_id", "_known")
+    )
     joined = df.join(named, "stop_id", "left")
     return joined.select(
         *df.columns, stop_name(F.col("stop_id"), F.col("_known")).alias("stop_name")

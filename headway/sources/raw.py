@@ -20,13 +20,21 @@ def read_raw(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
 
 
 def read_raw_stream(
-    spark: SparkSession, path: str, source: str = "binaryFile", files_per_trigger: int = 1000
+    spark: SparkSession,
+    path: str,
+    source: str = "binaryFile",
+    files_per_trigger: int = 100_000,
+    **options: str,
 ) -> DataFrame:
-    """New snapshots as they arrive: ``*.pb`` files, or files of a raw Parquet table."""
+    """New snapshots as they arrive: ``*.pb`` files, or files of a raw Parquet table.
+
+    ``options`` go to the file source, such as ``cleanSource`` to keep a long-lived
+    landing folder short enough to list.
+    """
     stream = spark.readStream.schema(RAW_FILE).option("maxFilesPerTrigger", files_per_trigger)
     if source == "binaryFile":
         stream = stream.option("pathGlobFilter", "*.pb")
-    return stream.format(source).load(path)
+    return stream.options(**options).format(source).load(path)
 
 
 def with_names(raw: DataFrame) -> DataFrame:

@@ -5,8 +5,11 @@ copies, so one feed, route, event kind and trip id are hot as well.
 """
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from headway.operators.vehicles import with_stop_names
+from headway.plans import fixtures as fix
 from tests.compare import assert_same, connect
 from tests.conftest import DATA, TABLES
 
@@ -50,3 +53,46 @@ def test_hot_keys(spark, skewed, name):
         assert_same(registry.queries()[name](spark, folder), con, registry.oracle_sql()[name])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def joined_lines(spark, folder):
+    return fix.trip_lines(spark, folder)
+
+
+def named_stops(spark, folder):
+    lines = fix.table(spark, folder, "lineitem")
+    stop_id = F.concat(F.col("l_suppkey").cast("string"), F.lit("N"))
+    return with_stop_names(lines.withColumn("stop_id", stop_id), fix.stops(spark, folder))
+
+
+@pytest.mark.parametrize("build", [joined_lines, named_stops])
+def test_hot_join_key_is_split(spark, tmp_path, build):
+    """Adaptive execution divides the partition of the hot key among tasks."""
+    source = "/root/testdata/sf0.01"
+    for name in ("orders", "supplier"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    hot = F.col("l_linenumber") <= 2
+    lines = spark.read.parquet(f"{source}/lineitem.parquet").withColumns(
+        {
+            "l_orderkey": F.when(hot, 100).otherwise(F.col("l_orderkey")),
+            "l_suppkey": F.when(hot, 6).otherwise(F.col("l_suppkey")),
+        }
+    )
+    lines.repartition(8).write.parquet(f"{tmp_path}/lineitem.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = build(spark, str(tmp_path))
+        used = rows.select(F.hash(*rows.columns).alias("h")).agg(F.max("h"))
+        used.collect()
+        assert "skew=true" in used._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
