@@ -454,4 +454,4 @@ def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress of a stream that takes the raw table in."""
     running, _ = _streamed(spark, sf_dir)
-    return status_frame(running)
+    return status_frame(running, once())

@@ -12,7 +12,8 @@ from headway.schemas import FILE_LISTING
 def list_snapshots(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """Name, size and modification time per file; no rows if the folder does not exist.
 
-    Contents are not selected, so no file is opened.
+    Contents are not selected, so no file is opened.  Spark's file sources pass over
+    files of length 0.
     """
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)

@@ -9,17 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 STATUS = (
     "batch_id bigint, started_at string, input_rows bigint, duration_ms bigint, "
-    "is_running boolean, sources string, sink string, last_error string"
+    "is_running boolean, trigger string, sources string, sink string, last_error string"
 )
 
 
-def status_frame(query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch.
+def status_frame(query: StreamingQuery, trigger: dict | None = None) -> DataFrame:
+    """One row per recent micro-batch; ``trigger`` is what the query was started with.
 
     Spark keeps a bounded number of these on the driver
     (``spark.sql.streaming.numRecentProgressUpdates``).
     """
     problem = query.exception()
+    setting = ", ".join(f"{name}={value}" for name, value in (trigger or {}).items()) or None
     rows = []
     for progress in query.recentProgress:
         report = json.loads(progress.json)
@@ -30,6 +31,7 @@ def status_frame(query: StreamingQuery) -> DataFrame:
                 sum(source["numInputRows"] for source in report["sources"]),
                 report["durationMs"].get("triggerExecution"),
                 query.isActive,
+                setting,
                 ", ".join(source["description"] for source in report["sources"]),
                 report["sink"]["description"],
                 str(problem) if problem else None,

@@ -110,8 +110,10 @@ def test_running_query_reports_and_stops(spark, feed_message, folders):
     query = stream_vehicles(read_raw_stream(spark, str(landing)), target, state, poll_every(10))
     try:
         query.processAllAvailable()
-        rows = status_frame(query).collect()
+        rows = status_frame(query, poll_every(10)).collect()
         assert rows and all(row.is_running for row in rows)
+        assert {row.trigger for row in rows} == {"processingTime=10 seconds"}
+        assert all(str(landing) in row.sources for row in rows)
     finally:
         query.stop()
     assert not query.isActive
