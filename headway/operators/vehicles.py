@@ -51,18 +51,23 @@ def project_vehicles(entities: DataFrame, *keys: str) -> DataFrame:
 def interpret_vehicles(vehicles: DataFrame) -> DataFrame:
     """All input columns plus ``route_name``, ``trip_info`` and ``timestamp_readable``.
 
-    Null and empty inputs add nothing.  The pieces of the trip id are columns of an
-    inner projection, so each is computed once per row.
+    Null, empty and missing inputs add nothing.  The pieces of the trip id are columns
+    of an inner projection, so each is computed once per row.
     """
-    cut = split_trip_id(F.col("trip_id"))
+
+    def given(name: str, kind: str) -> Column:
+        return F.col(name) if name in vehicles.columns else F.lit(None).cast(kind)
+
+    trip_id, route_id = given("trip_id", "string"), given("route_id", "string")
+    cut = split_trip_id(trip_id)
     staged = vehicles.select("*", *[piece.alias(f"_{name}") for name, piece in cut.items()])
-    fields = trip_fields(F.col("trip_id"), {name: F.col(f"_{name}") for name in cut})
+    fields = trip_fields(trip_id, {name: F.col(f"_{name}") for name in cut})
     info = F.struct(*[fields[name].alias(name) for name in TRIP_FIELDS])
     return staged.select(
         *vehicles.columns,
-        F.when(F.col("route_id") != "", route_name(F.col("route_id"))).alias("route_name"),
-        F.when(F.col("trip_id") != "", info).alias("trip_info"),
-        timestamp_readable(F.col("timestamp")).alias("timestamp_readable"),
+        F.when(route_id != "", route_name(route_id)).alias("route_name"),
+        F.when(trip_id != "", info).alias("trip_info"),
+        timestamp_readable(given("timestamp", "bigint")).alias("timestamp_readable"),
     )
 
 

@@ -36,11 +36,11 @@ def _unless(key: Column, divisor: int, value: Column, remainder: int = 0) -> Col
     return F.when(key % divisor != remainder, value)
 
 
-def _pick(options: Iterable[str | None], index: Column) -> Column:
+def pick(options: Iterable[str | None], index: Column) -> Column:
     return F.get(F.array(*[F.lit(option) for option in options]), index.cast("int"))
 
 
-def _digits(moment: Column) -> Column:
+def clock_digits(moment: Column) -> Column:
     """``HHmmss`` of a zone-free timestamp."""
     return F.translate(F.substring(moment.cast("string"), 12, 8), ":", "")
 
@@ -55,8 +55,8 @@ def captured_at(feed_no: Column) -> Column:
 def _vehicle_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaves of each entity, null where unset, and which of its parts are present."""
     key, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    route = _pick(ROUTES, user % 6)
-    digits = _digits(F.col("ts"))
+    route = pick(ROUTES, user % 6)
+    digits = clock_digits(F.col("ts"))
     tail = F.concat(
         F.substr(F.lit("NSEWX"), (key % 5 + 1).cast("int"), F.lit(1)),
         F.lpad((key % 40).cast("string"), 2, "0"),
@@ -139,7 +139,7 @@ def trip_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order, without its stop times."""
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    route = _pick(ROUTES, F.col("o_custkey") % 6)
+    route = pick(ROUTES, F.col("o_custkey") % 6)
     trip_id = F.concat(
         F.lpad((key % 240000).cast("string"), 6, "0"), F.lit("_"), route, F.lit("..S01R")
     )
@@ -306,7 +306,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ok = attempt == key % 4 + 1
     return attempts.select(
-        _pick((VEHICLE_POSITIONS, TRIP_UPDATES), key % 2).alias("feed_type"),
+        pick((VEHICLE_POSITIONS, TRIP_UPDATES), key % 2).alias("feed_type"),
         (key * 4 + attempt).alias("attempt_key"),
         ok.alias("ok"),
         (~ok & (attempt == 3)).alias("exhausted"),
@@ -333,7 +333,7 @@ def flow_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored snapshot per event."""
     key, seconds = F.col("event_id"), epoch_seconds(F.col("ts"))
-    kind = _pick((VEHICLE_POSITIONS, TRIP_UPDATES), key % 2)
+    kind = pick((VEHICLE_POSITIONS, TRIP_UPDATES), key % 2)
     return table(spark, sf_dir, "events").select(
         "event_id",
         kind.alias("feed_type"),

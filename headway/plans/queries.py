@@ -135,7 +135,7 @@ def trip_parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def departure_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digits of every length from 0 to 7."""
-    text = F.concat(fix._digits(F.col("ts")), F.lit("9"))
+    text = F.concat(fix.clock_digits(F.col("ts")), F.lit("9"))
     digits = F.substr(text, F.lit(1), (F.col("event_id") % 8).cast("int"))
     events = fix.table(spark, sf_dir, "events").select("event_id", digits.alias("digits"))
     return events.withColumn("departure_time", H.departure_time(F.col("digits")))
@@ -182,7 +182,7 @@ def snapshot_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feed_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = ("vehicle_positions", "Trip_Updates", "ALERTS", "buses", "", None)
-    requested = fix._pick(asked, F.col("event_id") % 6)
+    requested = fix.pick(asked, F.col("event_id") % 6)
     events = fix.table(spark, sf_dir, "events").select("event_id", requested.alias("requested"))
     return events.withColumns(
         {

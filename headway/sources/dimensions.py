@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.lookups import ROUTE_NAMES
 
 
 def routes(spark: SparkSession) -> DataFrame:
-    """The known routes: ``route_id``, ``route_name``."""
-    return spark.createDataFrame(list(ROUTE_NAMES.items()), "route_id string, route_name string")
+    """The known routes: ``route_id``, ``route_name``; a literal relation in the plan."""
+    ids, names = zip(*ROUTE_NAMES.items())
+    return spark.createDataFrame(pa.table({"route_id": ids, "route_name": names}))
 
 
 def read_stops(spark: SparkSession, path: str) -> DataFrame:

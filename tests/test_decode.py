@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headway.operators import decode as dec
@@ -130,6 +132,13 @@ def test_interpretation_adds_nothing_for_empty_inputs(decoded):
         assert added == (None, None, None)
 
 
+def test_interpretation_of_partial_records(spark):
+    rows = spark.createDataFrame([("1", 38)], "route_id string, current_stop_sequence int")
+    (row,) = interpret_vehicles(rows).collect()
+    assert (row.route_name, row.trip_info, row.timestamp_readable) == ("1 Train", None, None)
+    assert row.current_stop_sequence == 38
+
+
 def test_first_fifty_of_a_stored_snapshot(spark, feed_message):
     def numbered(n):
         def fill(entity):
@@ -150,3 +159,75 @@ def test_stop_names_do_not_multiply_rows(spark):
     named = {tuple(row) for row in with_stop_names(rows, stops).collect()}
     assert named == {("1N", "a"), ("2N", "Stop 2N"), (None, None)}
     assert with_stop_names(rows).filter("stop_name = 'Stop 1N'").count() == 1
+
+
+text = st.text(max_size=5)
+number = st.integers(0, 2**32 - 1)
+single = st.floats(width=32, allow_nan=False, allow_infinity=False)
+
+
+def maybe(**fields):
+    """A message as a dict of the fields that are set, or no message."""
+    return st.none() | st.fixed_dictionaries({}, optional=fields)
+
+
+event = maybe(time=st.integers(-(2**63), 2**63 - 1), delay=st.integers(-(2**31), 2**31 - 1))
+stop = st.fixed_dictionaries(
+    {"arrival": event, "departure": event}, optional={"stop_sequence": number, "stop_id": text}
+)
+trip_descriptor = maybe(trip_id=text, route_id=text)
+payloads = {
+    "vehicle": st.fixed_dictionaries(
+        {
+            "trip": trip_descriptor,
+            "vehicle": maybe(id=text),
+            "position": maybe(latitude=single, longitude=single, bearing=single, speed=single),
+        },
+        optional={
+            "timestamp": st.integers(0, 2**63 - 1),
+            "current_stop_sequence": number,
+            "current_status": st.integers(0, 2),
+            "stop_id": text,
+        },
+    ),
+    "trip_update": st.fixed_dictionaries(
+        {"trip": trip_descriptor, "stop_time_update": st.lists(stop, max_size=3)},
+        optional={"timestamp": st.integers(0, 2**63 - 1)},
+    ),
+}
+entity = st.fixed_dictionaries({"id": text}, optional=payloads)
+
+
+def write(message, values):
+    for name, value in values.items():
+        if isinstance(value, list):
+            for item in value:
+                write(getattr(message, name).add(), item)
+        elif isinstance(value, dict):
+            getattr(message, name).SetInParent()
+            write(getattr(message, name), value)
+        elif value is not None:
+            setattr(message, name, value)
+
+
+def only_set(value):
+    """Rows as nested dicts without nulls, to compare with what was written."""
+    if hasattr(value, "asDict"):
+        value = value.asDict()
+    if isinstance(value, dict):
+        return {name: only_set(item) for name, item in value.items() if item is not None}
+    return [only_set(item) for item in value] if isinstance(value, list) else value
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(entity, max_size=6), min_size=1, max_size=12))
+def test_any_message_comes_back(spark, feed_message, feeds):
+    contents = []
+    for entities in feeds:
+        message = feed_message()
+        for values in entities:
+            write(message.entity.add(), values)
+        contents.append(message.SerializePartialToString())
+    rows = dec.decode(raw(spark, *contents)).orderBy("n").collect()
+    assert [row.decode_error for row in rows] == [None] * len(feeds)
+    assert [only_set(row.entities) for row in rows] == [only_set(entities) for entities in feeds]
