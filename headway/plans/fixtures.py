@@ -194,70 +194,55 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw snapshots -----------------------------------------------------------
 
 
-def _fill(messages: list, columns: pa.StructArray) -> None:
-    """Copy a struct array into as many messages; a null leaves its field unset."""
-    for field, column in zip(columns.type, columns.flatten()):
-        there = column.is_valid().to_numpy(zero_copy_only=False).nonzero()[0].tolist()
-        if pa.types.is_struct(field.type):
-            children = [getattr(messages[row], field.name) for row in there]
-            for child in children:
-                child.SetInParent()
-            _fill(children, column.drop_null())
-        else:
-            values = column.drop_null().to_numpy(zero_copy_only=False).tolist()
-            for row, value in zip(there, values):
-                setattr(messages[row], field.name, value)
+def _rows(array: pa.Array) -> list:
+    """Python values of a nested array, taken leaf column by leaf column."""
+    if pa.types.is_struct(array.type):
+        names = [field.name for field in array.type]
+        children = zip(*[_rows(child) for child in array.flatten()])
+        present = array.is_valid().to_numpy(zero_copy_only=False)
+        return [
+            dict(zip(names, child)) if there else None for there, child in zip(present, children)
+        ]
+    if array.null_count and pa.types.is_floating(array.type):
+        return array.to_pylist()
+    return array.to_pandas(integer_object_nulls=True).tolist()
 
 
 def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by feed and entity to one message per feed."""
+    """Rows sorted by feed and entity to one message per feed; nulls stay unset."""
     feed_message = feed_message_class()
     feed = entity = feed_no = None
     held = 0
 
-    def closed(messages: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {
-                "feed_no": pa.array([number for number, _ in messages], pa.int64()),
-                "content": pa.array(
-                    [message.SerializePartialToString() for _, message in messages], pa.binary()
-                ),
-            }
+    def encoded(messages: list[tuple]) -> pa.RecordBatch:
+        contents = [feed_message(**feed).SerializePartialToString() for _, feed in messages]
+        numbers = pa.array([number for number, _ in messages], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [numbers, pa.array(contents, pa.binary())], ["feed_no", "content"]
         )
 
     for batch in batches:
-        done, owners, first_rows = [], [], []
-        records = batch.to_struct_array()
-        updates = records.field("update") if "update" in batch.schema.names else None
-        adds = [False] * len(batch) if updates is None else updates.is_valid().to_pylist()
-        keys = (batch.column(name).to_pylist() for name in ("feed_no", "id", "header_timestamp"))
-        for row, (number, entity_id, seconds) in enumerate(zip(*keys)):
-            if feed is None or number != feed_no or held >= RECORDS_PER_MESSAGE:
+        done = []
+        for row in _rows(batch.to_struct_array()):
+            if feed is None or row["feed_no"] != feed_no or held >= RECORDS_PER_MESSAGE:
                 if feed is not None:
                     done.append((feed_no, feed))
-                feed, feed_no, entity, held = feed_message(), number, None, 0
-                feed.header.gtfs_realtime_version = "2.0"
-                if seconds is not None:
-                    feed.header.timestamp = seconds
+                seconds = row["header_timestamp"]
+                header = {"gtfs_realtime_version": "2.0", "timestamp": seconds}
+                feed, feed_no, entity, held = {"header": header, "entity": []}, row["feed_no"], None, 0
+            update = row.get("update")
             # Only a further stop time continues a trip; any other row is its own record.
-            if not adds[row] or entity is None or entity.id != entity_id:
-                entity = feed.entity.add(id=entity_id)
-                first_rows.append(row)
-            owners.append(entity)
+            if update is None or entity is None or entity["id"] != row["id"]:
+                payloads = {name: row.get(name) for name in ("vehicle", "trip_update")}
+                entity = {"id": row["id"], **payloads}
+                feed["entity"].append(entity)
+            if update is not None:
+                entity["trip_update"].setdefault("stop_time_update", []).append(update)
             held += 1
-
-        payloads = [name for name in ("vehicle", "trip_update") if name in batch.schema.names]
-        payload = pa.StructArray.from_arrays([records.field(name) for name in payloads], payloads)
-        _fill([owners[row] for row in first_rows], payload.take(pa.array(first_rows, pa.int64())))
-        if updates is not None:
-            stops = [
-                owner.trip_update.stop_time_update.add() for owner, add in zip(owners, adds) if add
-            ]
-            _fill(stops, updates.drop_null())
         if done:
-            yield closed(done)
+            yield encoded(done)
     if feed is not None:
-        yield closed([(feed_no, feed)])
+        yield encoded([(feed_no, feed)])
 
 
 def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:
