@@ -184,9 +184,9 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders without lines are found apart, against distinct keys.
     """
     trips = trip_entities(spark, sf_dir)
-    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = table(spark, sf_dir, "lineitem")
     used = lineitem.select(F.col("l_orderkey").alias("order_key")).distinct()
-    lines = stop_updates(lineitem).join(trips, "order_key")
+    lines = spread(stop_updates(lineitem), "order_key").join(trips, "order_key")
     bare = trips.join(used, "order_key", "left_anti")
     return lines.unionByName(bare, allowMissingColumns=True)
 

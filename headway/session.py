@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +20,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+BLOCK_ROWS = 10_000
+
 
 def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Add the package's settings to a session builder."""
@@ -43,12 +46,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores when the scan yields fewer partitions than cores.
+    """Range rows over all cores when the scan yields fewer partitions than cores.
 
-    A large table already arrives in many more partitions than there are cores
+    Rows of one key stay together as long as they are few.  The number of the scanned
+    block behind the keys lets a hot key, even one of equal rows, fill several
+    partitions.  A large table already arrives in more partitions than there are cores
     and passes through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys)
+    block = F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}")
+    return df.withColumn("_block", block).repartitionByRange(cores, *keys, "_block").drop("_block")
