@@ -65,9 +65,10 @@ def headers(decoded: DataFrame, *keys: str) -> DataFrame:
 
 def entities(decoded: DataFrame, *keys: str) -> DataFrame:
     """One row per entity: ``keys``, ``entity_pos`` in feed order, ``id`` and both payloads."""
-    return good(decoded).select(
-        *keys, F.posexplode("entities").alias("entity_pos", "entity")
-    ).select(*keys, "entity_pos", "entity.id", "entity.vehicle", "entity.trip_update")
+    exploded = good(decoded).select(*keys, F.posexplode("entities").alias("entity_pos", "entity"))
+    return exploded.select(
+        *keys, "entity_pos", "entity.id", "entity.vehicle", "entity.trip_update"
+    )
 
 
 def _decode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +99,8 @@ def _decode_one(feed_message: type, content: bytes | None, kind: str | None) ->
             setattr(feed.header, name, getattr(feed.header, name))
         skipped = _OTHER_PAYLOAD.get(kind)
         return _struct([feed.header], _HEADER), _struct(feed.entity, _ENTITY, skipped), None
+    except MemoryError:  # says nothing about the snapshot, so the task is retried
+        raise
     except Exception as problem:  # any bad snapshot is a row, never a failed task
         return _NO_HEADER, _NO_ENTITIES, f"{type(problem).__name__}: {problem}"
 

@@ -32,7 +32,7 @@ def stop_time(update: Column) -> Column:
 def trip_update_fields(entity_id: Column, update: Column) -> dict[str, Column]:
     """The fields of a trip record; no stop times give an empty array."""
     return {
-        "id": entity_id,
+        "id": F.coalesce(entity_id, F.lit("")),
         "trip_id": under(update["trip"], "trip_id", ""),
         "route_id": under(update["trip"], "route_id", ""),
         "stop_time_updates": F.transform(update["stop_time_update"], stop_time),

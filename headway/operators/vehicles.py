@@ -23,7 +23,7 @@ def vehicle_fields(entity_id: Column, vehicle: Column) -> dict[str, Column]:
         ]
     )
     return {
-        "id": entity_id,
+        "id": F.coalesce(entity_id, F.lit("")),
         "vehicle_id": under(vehicle["vehicle"], "id", ""),
         "trip_id": under(vehicle["trip"], "trip_id", ""),
         "route_id": under(vehicle["trip"], "route_id", ""),

@@ -186,7 +186,7 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = trip_entities(spark, sf_dir)
     lineitem = table(spark, sf_dir, "lineitem")
     used = lineitem.select(F.col("l_orderkey").alias("order_key")).distinct()
-    lines = spread(stop_updates(lineitem), "order_key").join(trips, "order_key")
+    lines = stop_updates(spread(lineitem, "l_orderkey")).join(trips, "order_key")
     bare = trips.join(used, "order_key", "left_anti")
     return lines.unionByName(bare, allowMissingColumns=True)
 

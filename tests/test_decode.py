@@ -102,6 +102,28 @@ def test_kind_chooses_the_payload(spark, feed_message):
     assert alerts.n == 2 and "alerts" in alerts.decode_error
 
 
+def test_record_without_id(spark, feed_message):
+    def nameless(entity):
+        entity.vehicle.SetInParent()
+        entity.trip_update.SetInParent()
+
+    frame = dec.decode(raw(spark, make.feed(feed_message, [nameless])))
+    rows = dec.entities(frame)
+    assert [row.id for row in project_vehicles(rows).collect()] == [""]
+    assert [row.id for row in project_trips(rows).collect()] == [""]
+    (parsed,) = snap.parsed_vehicle_snapshots(frame).collect()
+    assert parsed.vehicles[0].id == ""
+
+
+def test_lack_of_memory_is_not_a_bad_snapshot(feed_message, monkeypatch):
+    def full(*_):
+        raise MemoryError
+
+    monkeypatch.setattr(dec, "_struct", full)
+    with pytest.raises(MemoryError):
+        dec._decode_one(feed_message, b"", None)
+
+
 def test_unknown_status_number_counts_as_unset(spark, feed_message):
     def odd(entity):
         entity.id = "odd"
