@@ -33,15 +33,16 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
-    master may go without it.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Only a local master may go
+    without it, and then gets a folder for the life of its context.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="headway-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="headway-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
 
 
