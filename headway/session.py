@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +33,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that every executor can reach.
 
     The cluster names that folder in ``spark.checkpoint.dir``.  Only a local master may go
-    without it, and then gets a folder for the life of its context.
+    without it, and then uses the context's checkpoint folder or else its warehouse.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="headway-"))
-        base = context.getCheckpointDir()
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
 
 

@@ -9,13 +9,9 @@ from headway.session import scratch_path
 
 def session(master: str, setting: str | None = None) -> SimpleNamespace:
     """As much of a session as names a folder."""
-    held = []
-    context = SimpleNamespace(
-        master=master,
-        getCheckpointDir=lambda: held[-1] if held else None,
-        setCheckpointDir=held.append,
-    )
-    conf = SimpleNamespace(get=lambda name, default: setting or default)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    settings = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/warehouse"}
+    conf = SimpleNamespace(get=lambda name, default=None: settings[name] or default)
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
@@ -30,7 +26,7 @@ def test_a_cluster_without_a_folder_is_an_error():
         scratch_path(session("yarn"), "raw")
 
 
-def test_a_local_master_gets_one_folder():
+def test_a_local_master_falls_back_to_the_warehouse():
     local = session("local[2]")
     first, second = scratch_path(local, "raw"), scratch_path(local, "raw")
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert first.startswith("file:/warehouse/headway/raw-") and first != second
