@@ -216,11 +216,13 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
 
 def predictor(spark, model: Model) -> Callable[[Column], Column]:
     """A column function: text to struct(lang, score)."""
-    shared = spark.sparkContext.broadcast(model)  # languages times 2**BITS weights
+    # Languages times 2**BITS weights, as plain values.
+    fields = (model.languages, model.weights, model.biases, model.idf, model.temperature)
+    shared = spark.sparkContext.broadcast(fields)
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        m = shared.value
+        m = Model(*shared.value)
         found = []
         for text in texts:
             counts = gram_counts(text)

@@ -76,11 +76,13 @@ class Trie:
 
 def matcher(spark, rules: list[tuple[str, str, str]]) -> Callable[[Column, Column], Column]:
     """A column function: host and path to struct(rule, verdict), nulls without a rule."""
-    shared = spark.sparkContext.broadcast(Trie(rules))
+    shared = spark.sparkContext.broadcast(Trie(rules).root)
 
     @F.pandas_udf("rule string, verdict string")
     def match(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        found = [shared.value.longest(h, p) for h, p in zip(hosts, paths)]
+        trie = Trie([])
+        trie.root = shared.value
+        found = [trie.longest(h, p) for h, p in zip(hosts, paths)]
         return pd.DataFrame(found, columns=["rule", "verdict"], dtype=object)
 
     return match
