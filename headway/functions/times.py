@@ -29,6 +29,11 @@ def format_epoch(seconds: Column) -> Column:
     )
 
 
+def iso_time(seconds: Column) -> Column:
+    """``YYYY-MM-DDTHH:MM:SS``; null outside the years 1 to 9999."""
+    return F.replace(format_epoch(seconds), F.lit(" "), F.lit("T"))
+
+
 def timestamp_readable(seconds: Column) -> Column:
     """Readable time of a record; null and zero both count as no time."""
     return F.when(seconds != 0, format_epoch(seconds))

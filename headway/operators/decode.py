@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate, chain
 
 import pyarrow as pa
+from google.protobuf.message import DecodeError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +34,8 @@ _OTHER_PAYLOAD = {VEHICLE_POSITIONS: "trip_update", TRIP_UPDATES: "vehicle"}
 def decode(df: DataFrame, content: str = "content", feed_type: Column | None = None) -> DataFrame:
     """Replace the ``content`` column by ``header``, ``entities`` and ``decode_error``.
 
-    A snapshot that cannot be decoded keeps its row, with the reason in
-    ``decode_error``.  Where ``feed_type`` is given, only entities of that kind are
+    A snapshot that cannot be decoded, null and empty ones included, keeps its row, with the
+    reason in ``decode_error``.  Numbers beyond a BIGINT become null.  Where ``feed_type`` is given, only entities of that kind are
     read and a kind without a parser is an error; null reads both kinds.
     """
     kept = [name for name in df.columns if name != content]
@@ -93,15 +94,16 @@ def _decode_one(feed_message: type, content: bytes | None, kind: str | None) ->
         if kind not in (None, VEHICLE_POSITIONS, TRIP_UPDATES):
             raise ValueError(f"no parser for feed type {kind}")
         feed = feed_message()
-        feed.ParseFromString(content or b"")
+        if not content:
+            raise ValueError("no content")
+        feed.ParseFromString(content)
         # The stored header has the wire defaults where a field is unset.
         for name in _HEADER.names:
             setattr(feed.header, name, getattr(feed.header, name))
         skipped = _OTHER_PAYLOAD.get(kind)
         return _struct([feed.header], _HEADER), _struct(feed.entity, _ENTITY, skipped), None
-    except MemoryError:  # says nothing about the snapshot, so the task is retried
-        raise
-    except Exception as problem:  # any bad snapshot is a row, never a failed task
+    # A bad snapshot is a row; anything else, such as a lack of memory, fails the task.
+    except (DecodeError, UnicodeError, ValueError) as problem:
         return _NO_HEADER, _NO_ENTITIES, f"{type(problem).__name__}: {problem}"
 
 
@@ -130,11 +132,18 @@ def _struct(messages: Sequence, kind: pa.StructType, skipped: str | None = None)
             elif pa.types.is_struct(field.type):
                 columns.append(_struct(values, field.type))
             else:
-                columns.append(pa.array(values, field.type))
+                columns.append(_leaves(values, field.type))
     absent = pa.array([message is None for message in messages], pa.bool_())
     return pa.StructArray.from_arrays(columns, fields=list(kind), mask=absent)
 
 
+def _leaves(values: list, kind: pa.DataType) -> pa.Array:
+    """Values of a leaf; an unsigned number that a BIGINT cannot hold becomes null."""
+    if pa.types.is_int64(kind) and any(value is not None and value >= 2**63 for value in values):
+        values = [value if value is None or value < 2**63 else None for value in values]
+    return pa.array(values, kind)
+
+
 def _to_batch(carried: pa.RecordBatch, snapshots: list[tuple]) -> pa.RecordBatch:
     headers, entity_lists, errors = zip(*snapshots)
     offsets = pa.array(accumulate(map(len, entity_lists), initial=0), pa.int32())

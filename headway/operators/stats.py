@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions import format_epoch
+from headway.functions.times import iso_time
 
 
 def fetch_stats(attempts: DataFrame, *keys: str) -> DataFrame:
@@ -22,7 +22,7 @@ def fetch_stats(attempts: DataFrame, *keys: str) -> DataFrame:
         F.count("*").alias("total_fetches"),
         F.count_if(ok).alias("successful_fetches"),
         F.count_if("exhausted").alias("failed_fetches"),
-        format_epoch(F.max(F.when(ok, F.col("fetched_at")))).alias("last_fetch_time"),
+        iso_time(F.max(F.when(ok, F.col("fetched_at")))).alias("last_fetch_time"),
         F.max_by(F.when(~ok, F.col("error")), "attempt_key").alias("last_error"),
     )
 
@@ -50,5 +50,5 @@ def flow_summary(runs: DataFrame, run: str) -> DataFrame:
         F.when(every, "completed").otherwise("failed").alias("flow_status"),
         F.when(every, F.count_if("ok")).alias("success_count"),
         F.when(every, F.count("*")).alias("total_count"),
-        format_epoch(F.max("finished_at")).alias("completed_at"),
+        iso_time(F.max("finished_at")).alias("completed_at"),
     )

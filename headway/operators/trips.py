@@ -35,7 +35,9 @@ def trip_update_fields(entity_id: Column, update: Column) -> dict[str, Column]:
         "id": F.coalesce(entity_id, F.lit("")),
         "trip_id": under(update["trip"], "trip_id", ""),
         "route_id": under(update["trip"], "route_id", ""),
-        "stop_time_updates": F.transform(update["stop_time_update"], stop_time),
+        "stop_time_updates": F.coalesce(
+            F.transform(update["stop_time_update"], stop_time), F.expr("filter(array(), x -> true)")
+        ),
         "timestamp": update["timestamp"],
     }
 

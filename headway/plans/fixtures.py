@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from headway.functions import epoch_seconds, snapshot_filename
 from headway.lookups import TRIP_UPDATES, VEHICLE_POSITIONS
-from headway.session import spread
 from headway.sources.wire import feed_message_class
 
 ROUTES = ("1", "2", "A", "GS", "SI", "X9")
@@ -23,8 +22,9 @@ VEHICLES_PER_FEED = 100
 TRIPS_PER_FEED = 1000
 FIRST_SNAPSHOT = 1704067200  # 2024-01-01 00:00:00
 SNAPSHOT_STEP = 20
-# A message is closed once it holds this many records, so its size has a bound.
-RECORDS_PER_MESSAGE = 10_000
+# The stop times of a feed are dealt over this many messages by their item, so an order
+# that holds many of them fills several tasks.  The part is added to the captured second.
+PARTS = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -173,7 +173,9 @@ def stop_updates(lineitem: DataFrame) -> DataFrame:
         _unless(part, 7, arrival).alias("arrival"),
         _unless(supplier, 5, departure).alias("departure"),
     )
-    return lineitem.select(F.col("l_orderkey").alias("order_key"), update.alias("update"))
+    return lineitem.select(
+        F.col("l_orderkey").alias("order_key"), (part % PARTS).alias("part"), update.alias("update")
+    )
 
 
 def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,8 +188,8 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = trip_entities(spark, sf_dir)
     lineitem = table(spark, sf_dir, "lineitem")
     used = lineitem.select(F.col("l_orderkey").alias("order_key")).distinct()
-    lines = stop_updates(spread(lineitem, "l_orderkey")).join(trips, "order_key")
-    bare = trips.join(used, "order_key", "left_anti")
+    lines = stop_updates(lineitem).join(trips, "order_key")
+    bare = trips.join(used, "order_key", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
     return lines.unionByName(bare, allowMissingColumns=True)
 
 
@@ -209,27 +211,27 @@ def _rows(array: pa.Array) -> list:
 
 
 def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by feed and entity to one message per feed; nulls stay unset."""
+    """Rows sorted by feed, part and entity to one message each; nulls stay unset."""
     feed_message = feed_message_class()
-    feed = entity = feed_no = None
-    held = 0
+    feed = entity = key = None
 
     def encoded(messages: list[tuple]) -> pa.RecordBatch:
         contents = [feed_message(**feed).SerializePartialToString() for _, feed in messages]
-        numbers = pa.array([number for number, _ in messages], pa.int64())
+        numbers, parts = (pa.array([k[i] for k, _ in messages], pa.int64()) for i in range(2))
         return pa.RecordBatch.from_arrays(
-            [numbers, pa.array(contents, pa.binary())], ["feed_no", "content"]
+            [numbers, parts, pa.array(contents, pa.binary())], ["feed_no", "part", "content"]
         )
 
     for batch in batches:
         done = []
         for row in _rows(batch.to_struct_array()):
-            if feed is None or row["feed_no"] != feed_no or held >= RECORDS_PER_MESSAGE:
+            if (row["feed_no"], row["part"]) != key:
                 if feed is not None:
-                    done.append((feed_no, feed))
+                    done.append((key, feed))
                 seconds = row["header_timestamp"]
                 header = {"gtfs_realtime_version": "2.0", "timestamp": seconds}
-                feed, feed_no, entity, held = {"header": header, "entity": []}, row["feed_no"], None, 0
+                feed, entity = {"header": header, "entity": []}, None
+                key = row["feed_no"], row["part"]
             update = row.get("update")
             # Only a further stop time continues a trip; any other row is its own record.
             if update is None or entity is None or entity["id"] != row["id"]:
@@ -238,28 +240,29 @@ def _encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 feed["entity"].append(entity)
             if update is not None:
                 entity["trip_update"].setdefault("stop_time_update", []).append(update)
-            held += 1
         if done:
             yield encoded(done)
     if feed is not None:
-        yield encoded([(feed_no, feed)])
+        yield encoded([(key, feed)])
 
 
 def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:
-    """Encode records into snapshots shaped like the binary file source, plus ``feed_no``.
+    """Encode records into snapshots shaped like the binary file source, plus their key.
 
-    Messages are built where the rows are: sorting stays inside a partition, and a
-    feed that lies in several partitions comes as several messages of the same name.
+    Each ``feed_no`` and ``part`` is one message, whatever the number of cores, files or
+    partitions: one exchange by that key brings its records together.
     """
-    feed_no = F.col("feed_no")
+    feed_no, part = F.col("feed_no"), F.col("part")
     stamped = records.withColumn("header_timestamp", _unless(feed_no, 5, captured_at(feed_no)))
-    messages = stamped.sortWithinPartitions("feed_no", "id").mapInArrow(
-        _encode_batches, "feed_no bigint, content binary"
+    together = stamped.repartition("feed_no", "part").sortWithinPartitions("feed_no", "part", "id")
+    messages = together.mapInArrow(
+        _encode_batches, "feed_no bigint, part bigint, content binary"
     )
-    moment = captured_at(feed_no)
+    moment = captured_at(feed_no) + part
     name = snapshot_filename(F.lit(feed_type), moment, "pb")
     return messages.select(
         "feed_no",
+        "part",
         F.concat(F.lit("/landing/"), name).alias("path"),
         F.timestamp_seconds(moment).alias("modificationTime"),
         F.length("content").cast("bigint").alias("length"),
@@ -269,7 +272,7 @@ def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:
 
 def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities = vehicle_entities(spark, sf_dir).drop("entity_pos")
-    return raw_snapshots(spread(entities, "feed_no"), VEHICLE_POSITIONS)
+    return raw_snapshots(entities.withColumn("part", F.lit(0).cast("bigint")), VEHICLE_POSITIONS)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ trip AS (
     CASE WHEN o_orderkey % 9 <> 0 THEN CAST({EPOCH.format("o_orderdate")} AS BIGINT) END AS "timestamp"
   FROM orders),
 stop_time AS (
-  SELECT l_orderkey AS order_key,
+  SELECT l_orderkey AS order_key, l_partkey % 16 AS part,
     CASE WHEN l_suppkey % 11 <> 0 THEN CAST(l_linenumber AS BIGINT) END AS stop_sequence,
     CASE WHEN l_partkey % 17 <> 0 THEN l_suppkey || 'N' END AS stop_id,
     CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 5 = 0 THEN CAST(0 AS BIGINT)
@@ -110,7 +110,7 @@ stop_time AS (
          ELSE -CAST(l_quantity AS INTEGER) END AS departure_delay
   FROM lineitem),
 stop_rows AS (
-  SELECT trip.* EXCLUDE (o_orderkey), stop_time.* EXCLUDE (order_key),
+  SELECT trip.* EXCLUDE (o_orderkey), stop_time.* EXCLUDE (order_key, part), coalesce(part, 0) AS part,
     order_key IS NOT NULL AS has_stop_time
   FROM trip LEFT JOIN stop_time ON order_key = o_orderkey)"""
 
@@ -135,15 +135,15 @@ FETCH_COUNTERS = """
     count(*) AS total_fetches,
     count(*) FILTER (WHERE ok) AS successful_fetches,
     count(*) FILTER (WHERE NOT ok AND attempt = 3) AS failed_fetches,
-    strftime(make_timestamp(max(seconds) FILTER (WHERE ok) * 1000000), '%Y-%m-%d %H:%M:%S') AS last_fetch_time,
+    strftime(make_timestamp(max(seconds) FILTER (WHERE ok) * 1000000), '%Y-%m-%dT%H:%M:%S') AS last_fetch_time,
     arg_max_null(error, n) AS last_error"""
 
 STAMP = (
-    "strftime(make_timestamp((1704067200 + 20 * feed_no) * 1000000), '{}')"
+    "strftime(make_timestamp((1704067200 + 20 * feed_no + part) * 1000000), '{}')"
 )
 
 FLAT_VEHICLES = "SELECT * EXCLUDE (entity_pos) FROM vp"
-STOP_ROWS = f"WITH {TRIPS} SELECT * FROM stop_rows"
+STOP_ROWS = f"WITH {TRIPS} SELECT * EXCLUDE (part) FROM stop_rows"
 
 ORACLE: dict[str, str] = {
     "interpret_vehicles": f"""
@@ -201,11 +201,11 @@ SELECT event_id, requested,
 FROM asked""",
     "entity_filter": f"WITH {VEHICLES} SELECT feed_no, entity_pos, id FROM entity WHERE has_vehicle",
     "vehicle_projection": f"WITH {VEHICLES} {FLAT_VEHICLES}",
-    "trip_projection": f"WITH {TRIPS} SELECT * FROM stop_time",
+    "trip_projection": f"WITH {TRIPS} SELECT * EXCLUDE (part) FROM stop_time",
     "raw_decode_roundtrip": f"WITH {VEHICLES} {FLAT_VEHICLES}",
     "trip_decode_roundtrip": f"""
 WITH {TRIPS}
-SELECT feed_no, id, trip_id, route_id, "timestamp", count(*) FILTER (WHERE has_stop_time) AS stop_times
+SELECT feed_no, part, id, trip_id, route_id, "timestamp", count(*) FILTER (WHERE has_stop_time) AS stop_times
 FROM stop_rows GROUP BY ALL""",
     "stop_time_explode": STOP_ROWS,
     "feed_header": """
@@ -215,13 +215,13 @@ SELECT DISTINCT event_id // 100 AS feed_no, '2.0' AS gtfs_realtime_version,
 FROM events""",
     "decode_quarantine": f"""
 WITH {VEHICLES}
-SELECT feed_no, feed_no % 7 = 3 AS quarantined,
-  CASE WHEN feed_no % 7 = 3 THEN 0 ELSE count(*) FILTER (WHERE has_vehicle) END AS vehicle_count
+SELECT feed_no, feed_no % 7 IN (3, 4, 5) AS quarantined,
+  CASE WHEN feed_no % 7 IN (3, 4, 5) THEN 0 ELSE count(*) FILTER (WHERE has_vehicle) END AS vehicle_count
 FROM entity GROUP BY feed_no""",
     "json_roundtrip": f"""
 WITH {VEHICLES}
 SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status AS stop_id FROM vp""",
-    "json_trip_roundtrip": f"WITH {TRIPS} SELECT * EXCLUDE (feed_no) FROM stop_rows",
+    "json_trip_roundtrip": f"WITH {TRIPS} SELECT * EXCLUDE (feed_no, part) FROM stop_rows",
     "json_snapshot_scan": f"""
 WITH {VEHICLES}
 SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS label, id, trip_id, route_id FROM vp WHERE feed_no % 9 <> 4
@@ -229,7 +229,8 @@ UNION ALL
 SELECT DISTINCT 'invalid_json', CAST(feed_no AS VARCHAR), NULL, NULL, NULL FROM entity WHERE feed_no % 9 = 4""",
     "interpret_stored_snapshots": f"""
 WITH {PARSED}
-SELECT feed_no, id, route_name, timestamp_readable, {TRIP_INFO}
+SELECT feed_no, id, count(*) OVER (PARTITION BY feed_no) AS total_vehicles, route_name,
+  timestamp_readable, {TRIP_INFO}
 FROM tp QUALIFY row_number() OVER (PARTITION BY feed_no ORDER BY id) <= 50""",
     "vehicle_count": f"WITH {VEHICLES} SELECT feed_no, count(*) AS vehicle_count FROM vp GROUP BY feed_no",
     "trip_count": f"WITH {TRIPS} SELECT feed_no, count(*) AS trip_count FROM trip GROUP BY feed_no",
@@ -247,7 +248,7 @@ WITH runs AS (
   FROM events GROUP BY ALL)
 SELECT run_no, CASE WHEN fine THEN 'completed' ELSE 'failed' END AS flow_status,
   CASE WHEN fine THEN feeds END AS success_count, CASE WHEN fine THEN feeds END AS total_count,
-  strftime(make_timestamp(seconds * 1000000), '%Y-%m-%d %H:%M:%S') AS completed_at
+  strftime(make_timestamp(seconds * 1000000), '%Y-%m-%dT%H:%M:%S') AS completed_at
 FROM runs""",
     "latest20_files": f"""
 WITH {SNAPSHOTS}
@@ -268,11 +269,17 @@ SELECT feed_type, size, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
   strftime(ts, '%Y/%m/%d/') || feed_type || '_' || stamp || '.json' AS object_key
 FROM file""",
     "stream_vehicles_available_now": f"WITH {VEHICLES} {FLAT_VEHICLES}",
+    "stream_status": """
+WITH n AS (SELECT count(DISTINCT event_id // 100) AS n FROM events)
+SELECT unnest(['vehicle_positions', 'trip_updates', 'alerts']) AS feed_type, n AS snapshots,
+  unnest([0, 0, n]) AS quarantined, false AS is_running, 'availableNow=True' AS trigger,
+  CAST(NULL AS VARCHAR) AS last_error
+FROM n""",
     "stream_pair_ingest": f"""
 WITH {VEHICLES}, {TRIPS}, both_kinds AS (
-  SELECT feed_no, id, trip_id, route_id, "timestamp", 'vehicle_positions' AS feed_type FROM vp
+  SELECT feed_no, 0 AS part, id, trip_id, route_id, "timestamp", 'vehicle_positions' AS feed_type FROM vp
   UNION ALL
-  SELECT DISTINCT feed_no, id, trip_id, route_id, "timestamp", 'trip_updates' FROM trip)
+  SELECT DISTINCT feed_no, part, id, trip_id, route_id, "timestamp", 'trip_updates' FROM stop_rows)
 SELECT id, trip_id, route_id, "timestamp", feed_type,
   {STAMP.format("%Y")} AS year, {STAMP.format("%m")} AS month, {STAMP.format("%d")} AS day,
   feed_type || '_' || {STAMP.format("%Y%m%d_%H%M%S")} || '.pb' AS filename

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from headway import functions as H
 from headway.functions.trip_ids import TRIP_FIELDS
@@ -23,7 +22,7 @@ from headway.streaming import (
     ingest_snapshots,
     once,
     read_ingested,
-    status_frame,
+    status_totals,
     stream_vehicles,
 )
 
@@ -51,19 +50,19 @@ def _flat_trip_info(rows: DataFrame) -> DataFrame:
 
 
 def _flat_stop_times(rows: DataFrame) -> DataFrame:
-    """One row per stop time, without the position, which depends on how feeds were cut."""
+    """One row per stop time, without the position, as rows of a table have no order."""
     flat = trips.explode_stop_times(rows)
     return flat.withColumn("has_stop_time", F.col("stop_pos").isNotNull()).drop("stop_pos")
 
 
 def _decoded(raw: DataFrame) -> DataFrame:
-    return dec.decode(raw.select("feed_no", "content"))
+    return dec.decode(raw.select("feed_no", "part", "content"))
 
 
 def _written(spark: SparkSession, raw: DataFrame, label: str) -> str:
     """Store raw snapshots as a Parquet table and give its path."""
     path = scratch_path(spark, label)
-    raw.drop("feed_no").write.parquet(path)
+    raw.drop("feed_no", "part").write.parquet(path)
     return path
 
 
@@ -239,11 +238,12 @@ def raw_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trip_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips with the number of their stop times; a trip may span several messages."""
-    rows = dec.entities(_decoded(fix.raw_trips(spark, sf_dir)), "feed_no")
-    shaped = trips.project_trips(rows, "feed_no")
-    sized = shaped.withColumn("stop_times", F.size("stop_time_updates").cast("bigint"))
-    return sized.groupBy(*RECORD).agg(F.sum("stop_times").alias("stop_times"))
+    """Trips, one row in each part of the feed, with the number of their stop times."""
+    rows = dec.entities(_decoded(fix.raw_trips(spark, sf_dir)), "feed_no", "part")
+    shaped = trips.project_trips(rows, "feed_no", "part")
+    return shaped.withColumn("stop_times", F.size("stop_time_updates").cast("bigint")).drop(
+        "stop_time_updates"
+    )
 
 
 @query
@@ -254,25 +254,25 @@ def stop_time_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feed_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dec.headers(_decoded(fix.raw_vehicles(spark, sf_dir)), "feed_no").distinct()
+    return dec.headers(_decoded(fix.raw_vehicles(spark, sf_dir)), "feed_no")
 
 
 @query
 def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some feeds arrive cut short: their rows stay, marked, and the others decode."""
+    """Some feeds are garbled, empty or missing: their rows stay, marked, the others decode."""
     feed_no, content = F.col("feed_no"), F.col("content")
-    bad = F.when(feed_no % 7 == 3, F.unhex(F.lit("FFFFFF"))).otherwise(content)
+    bad = (
+        F.when(feed_no % 7 == 3, F.unhex(F.lit("FFFFFF")))
+        .when(feed_no % 7 == 4, F.unhex(F.lit("")))
+        .when(feed_no % 7 != 5, content)
+    )
     raw = fix.raw_vehicles(spark, sf_dir).withColumn("content", bad)
     decoded = _decoded(raw)
     carried = F.filter("entities", lambda entity: entity["vehicle"].isNotNull())
-    return (
-        decoded.select(
-            "feed_no",
-            F.col("decode_error").isNotNull().alias("quarantined"),
-            F.coalesce(F.size(carried), F.lit(0)).cast("bigint").alias("vehicles"),
-        )
-        .groupBy("feed_no", "quarantined")
-        .agg(F.sum("vehicles").alias("vehicle_count"))
+    return decoded.select(
+        "feed_no",
+        F.col("decode_error").isNotNull().alias("quarantined"),
+        F.coalesce(F.size(carried), F.lit(0)).cast("bigint").alias("vehicle_count"),
     )
 
 
@@ -315,23 +315,18 @@ def json_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     vehicle = [F.col(f"vehicle.{name}").alias(name) for name in ("id", "trip_id", "route_id")]
     rows = stored.select("status", label.alias("label"), F.explode_outer("vehicles").alias("vehicle"))
     good = rows.filter("status = 'ok' AND vehicle IS NOT NULL").select("status", "label", *vehicle)
-    bad = rows.filter("status <> 'ok'").select("status", "label", *vehicle).distinct()
+    bad = rows.filter("status <> 'ok'").select("status", "label", *vehicle)
     return good.withColumn("label", F.lit(None).cast("string")).unionByName(bad)
 
 
 @query
 def interpret_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 50 interpreted vehicles of each stored snapshot.
-
-    A feed that came as several messages is cut once more over all of them.
-    """
+    """The first 50 interpreted vehicles of each stored snapshot, with the count of all."""
     decoded = _decoded(fix.raw_vehicles(spark, sf_dir))
     parsed = snap.parsed_vehicle_snapshots(dec.good(decoded), "feed_no")
     rows = snap.interpret_snapshots(parsed, "feed_no")
-    cut = vehicles.first_vehicles(rows, "feed_no", "id")
-    return _flat_trip_info(
-        cut.select("feed_no", "id", "route_name", "trip_info", "timestamp_readable")
-    )
+    columns = ("feed_no", "id", "total_vehicles", "route_name", "trip_info", "timestamp_readable")
+    return _flat_trip_info(rows.select(*columns))
 
 
 # --- aggregates, top-k, union --------------------------------------------------
@@ -415,19 +410,22 @@ def daily_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("feed_type", "size", *DAY, key.alias("object_key"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[StreamingQuery, str]:
-    landing = _written(spark, fix.raw_vehicles(spark, sf_dir), "stream-landing")
-    target, state = scratch_path(spark, "stream-vehicles"), scratch_path(spark, "stream-state")
-    raw = read_raw_stream(spark, landing, "parquet")
-    running = stream_vehicles(raw, target, state, once())
-    running.awaitTermination()
-    return running, target
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of raw vehicle snapshots."""
+    raw = fix.raw_vehicles(spark, sf_dir).drop("feed_no", "part")
+    # One url serves all kinds, so every message lands under the name of each.
+    kinds = F.array(*map(F.lit, ("vehicle_positions", "trip_updates", "alerts")))
+    name = F.expr("replace(path, 'vehicle_positions', kind)")
+    landing = scratch_path(spark, "stream-landing")
+    raw.withColumn("kind", F.explode(kinds)).withColumn("path", name).drop("kind").write.parquet(landing)
+    return read_raw_stream(spark, landing, "parquet")
 
 
 @query
 def stream_vehicles_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table taken in as a stream, then read back."""
-    _, target = _streamed(spark, sf_dir)
+    target, state = scratch_path(spark, "stream-vehicles"), scratch_path(spark, "stream-state")
+    stream_vehicles(_landed(spark, sf_dir), target, state, once()).awaitTermination()
     rows = spark.read.parquet(target)
     shaped = rows.withColumn("feed_no", _feed_no(H.snapshot_epoch(F.col("path"))))
     return _flat(shaped.drop("path", "entity_pos"))
@@ -435,23 +433,25 @@ def stream_vehicles_available_now(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicles and trips of one ingestion, by day; parts of one trip count once."""
+    """Vehicles and trips of one ingestion, by day; a trip has a row in each part."""
     landing = scratch_path(spark, "ingest-landing")
     for raw in (fix.raw_vehicles(spark, sf_dir), fix.raw_trips(spark, sf_dir)):
-        raw.drop("feed_no").write.mode("append").parquet(landing)
+        raw.drop("feed_no", "part").write.mode("append").parquet(landing)
     target, state = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-state")
     raw = read_raw_stream(spark, landing, "parquet")
     ingest_snapshots(raw, target, state, once()).awaitTermination()
     columns = ("path", *DAY, "id", "trip_id", "route_id", "timestamp")
     union = snap.union_feeds(
         read_ingested(spark, target, "vehicles").select(*columns),
-        read_ingested(spark, target, "trips").select(*columns).distinct(),
+        read_ingested(spark, target, "trips").select(*columns),
     )
     return union.withColumn("filename", F.substring_index("path", "/", -1)).drop("path")
 
 
 @query
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress of a stream that takes the raw table in."""
-    running, _ = _streamed(spark, sf_dir)
-    return status_frame(running, once())
+    """Totals of an ingestion that takes the raw table in."""
+    target, state = scratch_path(spark, "status"), scratch_path(spark, "status-state")
+    running = ingest_snapshots(_landed(spark, sf_dir), target, state, once())
+    running.awaitTermination()
+    return status_totals(running, target, once())

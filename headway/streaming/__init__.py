@@ -1,7 +1,7 @@
 """Continuous and one-shot ingestion."""
 
 from headway.streaming.ingest import ingest_snapshots, read_ingested, stream_vehicles
-from headway.streaming.status import status_frame
+from headway.streaming.status import status_frame, status_totals
 from headway.streaming.triggers import once, poll_every
 
 __all__ = [
@@ -10,5 +10,6 @@ __all__ = [
     "poll_every",
     "read_ingested",
     "status_frame",
+    "status_totals",
     "stream_vehicles",
 ]

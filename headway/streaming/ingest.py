@@ -39,10 +39,14 @@ SCHEMAS = {
 def stream_vehicles(raw: DataFrame, target: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Append one row per vehicle to a Parquet table.
 
+    A file is read as the kind that its name states, as the same message may have been
+    stored as each kind.
+
     The file sink records which files each micro-batch committed, so a restart
     neither loses nor repeats a snapshot.
     """
-    vehicles = project_vehicles(entities(decode(raw), "path"), "path", "entity_pos")
+    decoded = decode(with_names(raw), feed_type=F.col("feed_type"))
+    vehicles = project_vehicles(entities(decoded, "path"), "path", "entity_pos")
     return (
         vehicles.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -65,9 +69,10 @@ def ingest_snapshots(
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         def write(df: DataFrame, table: str) -> None:
-            # A micro-batch spans few days, so it is written as it lies, without a shuffle.
+            # Raw bytes go down as they lie.  A first run over an archive spans many days, so
+            # the decoded tables are rebalanced, or every task would write a file a day.
             path = f"{target}/{table}/batch_id={batch_id}"
-            write_daily(df, path, mode="overwrite", rebalance=False)
+            write_daily(df, path, mode="overwrite", rebalance=table != "raw")
 
         def written(table: str) -> DataFrame:
             reader = spark.read.schema(SCHEMAS[table])

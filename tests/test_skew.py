@@ -34,16 +34,6 @@ def skewed(tmp_path_factory):
     return folder, connect(folder, TABLES)
 
 
-@pytest.fixture(scope="module", autouse=True)
-def small_messages():
-    """Messages of few records, so that the hot feed and the hot trip span many."""
-    from headway.plans import fixtures
-
-    before, fixtures.RECORDS_PER_MESSAGE = fixtures.RECORDS_PER_MESSAGE, 64
-    yield
-    fixtures.RECORDS_PER_MESSAGE = before
-
-
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_hot_keys(spark, skewed, name):
     folder, con = skewed
