@@ -271,7 +271,10 @@ def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:
 
 
 def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = vehicle_entities(spark, sf_dir).drop("entity_pos")
+    """Feeds of vehicles and, as one url serves both kinds, of some trips: the other entities."""
+    trip = F.struct(F.concat(F.lit("T"), F.col("id")).alias("trip_id"))
+    update = F.when(F.col("vehicle").isNull(), F.struct(trip.alias("trip")))
+    entities = vehicle_entities(spark, sf_dir).drop("entity_pos").withColumn("trip_update", update)
     return raw_snapshots(entities.withColumn("part", F.lit(0).cast("bigint")), VEHICLE_POSITIONS)
 
 

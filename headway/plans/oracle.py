@@ -202,7 +202,26 @@ FROM asked""",
     "entity_filter": f"WITH {VEHICLES} SELECT feed_no, entity_pos, id FROM entity WHERE has_vehicle",
     "vehicle_projection": f"WITH {VEHICLES} {FLAT_VEHICLES}",
     "trip_projection": f"WITH {TRIPS} SELECT * EXCLUDE (part) FROM stop_time",
-    "raw_decode_roundtrip": f"WITH {VEHICLES} {FLAT_VEHICLES}",
+    "raw_decode_roundtrip": f"""
+WITH {VEHICLES}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY feed_no ORDER BY id) - 1 AS place FROM entity)
+SELECT * EXCLUDE (has_vehicle, entity_pos, place), place AS entity_pos FROM placed WHERE has_vehicle""",
+    "raw_interpretation": f"""
+WITH {PARSED}
+SELECT feed_no, id, vehicle_id, trip_id, route_id, "timestamp", current_stop_sequence,
+  current_status, stop_id, latitude, longitude, bearing, speed, route_name, timestamp_readable,
+  {TRIP_INFO}
+FROM tp""",
+    "raw_kept": f"""
+WITH {VEHICLES}, kept AS (
+  SELECT feed_no, 0 AS part, unnest(['vehicle_positions', 'trip_updates', 'alerts']) AS feed_type,
+    count(*) FILTER (WHERE has_vehicle) AS vehicle_count,
+    count(*) FILTER (WHERE NOT has_vehicle) AS trip_count
+  FROM entity GROUP BY feed_no)
+SELECT feed_type || '_' || {STAMP.format("%Y%m%d_%H%M%S")} || '.pb' AS filename, feed_type,
+  {STAMP.format("%Y")} AS year, {STAMP.format("%m")} AS month, {STAMP.format("%d")} AS day,
+  true AS whole, vehicle_count, trip_count
+FROM kept""",
     "trip_decode_roundtrip": f"""
 WITH {TRIPS}
 SELECT feed_no, part, id, trip_id, route_id, "timestamp", count(*) FILTER (WHERE has_stop_time) AS stop_times
@@ -222,6 +241,18 @@ FROM entity GROUP BY feed_no""",
 WITH {VEHICLES}
 SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status AS stop_id FROM vp""",
     "json_trip_roundtrip": f"WITH {TRIPS} SELECT * EXCLUDE (feed_no, part) FROM stop_rows",
+    "json_pass_through": f"""
+WITH {TRIPS}
+SELECT CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
+  count(DISTINCT id) AS trip_count, count(DISTINCT id) AS trips
+FROM stop_rows GROUP BY feed_no, part""",
+    "json_one_per_file": f"""
+WITH {VEHICLES}
+SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status AS stop_id,
+  'ok' AS status, count(*) OVER (PARTITION BY feed_no) AS vehicle_count
+FROM vp""",
+    "json_file_listing": """
+SELECT count(DISTINCT event_id // 100) AS files, count(DISTINCT event_id // 100) AS complete FROM events""",
     "json_snapshot_scan": f"""
 WITH {VEHICLES}
 SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS label, id, trip_id, route_id FROM vp WHERE feed_no % 9 <> 4
@@ -229,7 +260,8 @@ UNION ALL
 SELECT DISTINCT 'invalid_json', CAST(feed_no AS VARCHAR), NULL, NULL, NULL FROM entity WHERE feed_no % 9 = 4""",
     "interpret_stored_snapshots": f"""
 WITH {PARSED}
-SELECT feed_no, id, count(*) OVER (PARTITION BY feed_no) AS total_vehicles, route_name,
+SELECT feed_no, CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
+  id, count(*) OVER (PARTITION BY feed_no) AS total_vehicles, route_name,
   timestamp_readable, {TRIP_INFO}
 FROM tp QUALIFY row_number() OVER (PARTITION BY feed_no ORDER BY id) <= 50""",
     "vehicle_count": f"WITH {VEHICLES} SELECT feed_no, count(*) AS vehicle_count FROM vp GROUP BY feed_no",
@@ -275,6 +307,13 @@ SELECT unnest(['vehicle_positions', 'trip_updates', 'alerts']) AS feed_type, n A
   unnest([0, 0, n]) AS quarantined, false AS is_running, 'availableNow=True' AS trigger,
   CAST(NULL AS VARCHAR) AS last_error
 FROM n""",
+    "stream_mixed_kinds": f"""
+WITH {VEHICLES}, own AS (
+  SELECT feed_no, 0 AS part, id, trip_id, 'vehicle_positions' AS feed_type FROM vp
+  UNION ALL
+  SELECT feed_no, 0, id, 'T' || id, 'trip_updates' FROM entity WHERE NOT has_vehicle)
+SELECT id, trip_id, feed_type, feed_type || '_' || {STAMP.format("%Y%m%d_%H%M%S")} || '.pb' AS filename
+FROM own""",
     "stream_pair_ingest": f"""
 WITH {VEHICLES}, {TRIPS}, both_kinds AS (
   SELECT feed_no, 0 AS part, id, trip_id, route_id, "timestamp", 'vehicle_positions' AS feed_type FROM vp

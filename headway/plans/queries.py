@@ -17,7 +17,8 @@ from headway.schemas import STOP_TIME
 from headway.session import scratch_path
 from headway.sinks import with_day, write_daily, write_parsed
 from headway.sinks.tables import DAY
-from headway.sources import read_parsed, read_raw_stream, routes
+from headway.sources import list_snapshots, read_parsed, read_raw_stream, routes
+from headway.sources.raw import with_names
 from headway.streaming import (
     ingest_snapshots,
     once,
@@ -232,8 +233,21 @@ def raw_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written(spark, fix.raw_vehicles(spark, sf_dir), "raw-vehicles")
     raw = spark.read.parquet(path).select("path", "content")
     captured = H.snapshot_epoch(F.col("path"))
-    rows = dec.entities(dec.decode(raw), "path").withColumn("feed_no", _feed_no(captured))
-    return _flat(vehicles.project_vehicles(rows, "feed_no"))
+    rows = dec.entities(dec.decode(raw), "path").withColumns(
+        {"feed_no": _feed_no(captured), "entity_pos": F.col("entity_pos").cast("bigint")}
+    )
+    return _flat(vehicles.project_vehicles(rows, "feed_no", "entity_pos"))
+
+
+@query
+def raw_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole path: raw table scanned, decoded by kind, projected and interpreted."""
+    path = _written(spark, fix.raw_vehicles(spark, sf_dir), "raw-interpretation")
+    raw = with_names(spark.read.parquet(path).select("path", "content"))
+    decoded = dec.decode(raw, feed_type=F.col("feed_type"))
+    rows = vehicles.project_vehicles(dec.entities(decoded, "captured_at"), "captured_at")
+    numbered = rows.withColumn("feed_no", _feed_no(F.col("captured_at"))).drop("captured_at")
+    return _flat_trip_info(_flat(vehicles.interpret_vehicles(numbered)))
 
 
 @query
@@ -324,9 +338,55 @@ def interpret_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 50 interpreted vehicles of each stored snapshot, with the count of all."""
     decoded = _decoded(fix.raw_vehicles(spark, sf_dir))
     parsed = snap.parsed_vehicle_snapshots(dec.good(decoded), "feed_no")
-    rows = snap.interpret_snapshots(parsed, "feed_no")
-    columns = ("feed_no", "id", "total_vehicles", "route_name", "trip_info", "timestamp_readable")
-    return _flat_trip_info(rows.select(*columns))
+    stamped = parsed.withColumn("header_timestamp", F.col("header.timestamp"))
+    rows = snap.interpret_snapshots(stamped, "feed_no", "header_timestamp")
+    keys = ("feed_no", "header_timestamp", "id", "total_vehicles")
+    return _flat_trip_info(rows.select(*keys, "route_name", "trip_info", "timestamp_readable"))
+
+
+@query
+def json_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of both kinds in one folder; interpretation returns those of trips as stored."""
+    path = scratch_path(spark, "parsed-both")
+    feeds = dec.good(_decoded(fix.raw_vehicles(spark, sf_dir)))
+    write_parsed(snap.parsed_vehicle_snapshots(feeds), path)
+    feeds = dec.good(_decoded(fix.raw_trips(spark, sf_dir)))
+    write_parsed(snap.parsed_trip_snapshots(feeds), path)
+    passed = snap.without_vehicles(read_parsed(spark, path, one_per_file=False))
+    return passed.select(
+        F.col("header.timestamp").alias("header_timestamp"),
+        "trip_count",
+        F.size("trips").cast("bigint").alias("trips"),
+    )
+
+
+def _one_per_file(spark: SparkSession, sf_dir: str) -> str:
+    """Indented documents, each a file of its own, as the reader meets them outside Spark."""
+    feeds = dec.good(_decoded(fix.raw_vehicles(spark, sf_dir)))
+    parsed = snap.parsed_vehicle_snapshots(feeds)
+    options = {"ignoreNullFields": "false", "pretty": "true"}
+    document = F.to_json(F.struct("header", "vehicle_count", "vehicles"), options)
+    path = scratch_path(spark, "one-per-file")
+    parsed.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query
+def json_one_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles of stored documents that span many lines, with the count each one states."""
+    stored = read_parsed(spark, _one_per_file(spark, sf_dir))
+    rows = stored.select("status", "vehicle_count", F.explode("vehicles").alias("vehicle"))
+    return _flat(rows.select("status", "vehicle_count", "vehicle.*"))
+
+
+@query
+def json_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many stored documents the listing finds, and whether each has a size and a time."""
+    files = list_snapshots(spark, _one_per_file(spark, sf_dir), "*.txt")
+    complete = (F.col("size") > 0) & F.col("modified").isNotNull()
+    return files.agg(
+        F.countDistinct("filename").alias("files"), F.count_if(complete).alias("complete")
+    )
 
 
 # --- aggregates, top-k, union --------------------------------------------------
@@ -448,6 +508,45 @@ def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union.withColumn("filename", F.substring_index("path", "/", -1)).drop("path")
 
 
+@query
+def stream_mixed_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with vehicles and trips, stored under every name: each is read as its own kind."""
+    target, state = scratch_path(spark, "mixed"), scratch_path(spark, "mixed-state")
+    ingest_snapshots(_landed(spark, sf_dir), target, state, once()).awaitTermination()
+    columns = (_filename(), "id", "trip_id")
+    return snap.union_feeds(
+        read_ingested(spark, target, "vehicles").select(*columns),
+        read_ingested(spark, target, "trips").select(*columns),
+    )
+
+
+@query
+def raw_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes that an ingestion kept, of every kind, and what they decode to."""
+    target, state = scratch_path(spark, "kept"), scratch_path(spark, "kept-state")
+    ingest_snapshots(_landed(spark, sf_dir), target, state, once()).awaitTermination()
+    raw = read_ingested(spark, target, "raw")
+    whole = (F.length("content") == F.col("length")).alias("whole")
+    decoded = dec.decode(raw.select(_filename(), "feed_type", *DAY, whole, "content"))
+
+    def carrying(payload: str) -> Column:
+        found = F.filter("entities", lambda entity: entity[payload].isNotNull())
+        return F.size(found).cast("bigint")
+
+    return decoded.select(
+        "filename",
+        "feed_type",
+        *DAY,
+        "whole",
+        carrying("vehicle").alias("vehicle_count"),
+        carrying("trip_update").alias("trip_count"),
+    )
+
+
+def _filename() -> Column:
+    return F.substring_index("path", "/", -1).alias("filename")
+
+
 @query
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of an ingestion that takes the raw table in."""

@@ -14,15 +14,23 @@ def with_day(df: DataFrame, seconds: Column) -> DataFrame:
     return df.withColumns(day_folder(seconds))
 
 
-def write_daily(df: DataFrame, path: str, mode: str = "append", rebalance: bool = True) -> None:
+def write_daily(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    rebalance: bool = True,
+    below: tuple[str, ...] = (),
+    **options: str,
+) -> None:
     """Write Parquet below ``year=/month=/day=``; ``df`` has those columns.
 
     With ``rebalance`` adaptive execution gives each day as many tasks as its size asks
     for: a hot day is split and small days are joined, so neither one huge nor
     thousands of tiny files come out.  Input already in time order can do without it.
+    Columns named in ``below`` become folders below the day; ``options`` go to the writer.
     """
     shaped = df.hint("rebalance", *DAY) if rebalance else df
-    shaped.write.mode(mode).partitionBy(*DAY).parquet(path)
+    shaped.write.mode(mode).options(**options).partitionBy(*DAY, *below).parquet(path)
 
 
 def write_parsed(parsed: DataFrame, path: str, mode: str = "append") -> None:

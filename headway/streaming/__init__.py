@@ -1,10 +1,16 @@
 """Continuous and one-shot ingestion."""
 
-from headway.streaming.ingest import ingest_snapshots, read_ingested, stream_vehicles
+from headway.streaming.ingest import (
+    compact_day,
+    ingest_snapshots,
+    read_ingested,
+    stream_vehicles,
+)
 from headway.streaming.status import status_frame, status_totals
 from headway.streaming.triggers import once, poll_every
 
 __all__ = [
+    "compact_day",
     "ingest_snapshots",
     "once",
     "poll_every",

@@ -60,10 +60,11 @@ def ingest_snapshots(
 ) -> StreamingQuery:
     """Keep raw and decoded snapshots as a pair, plus flat vehicles and trips.
 
-    Tables below ``target``: ``raw``, ``snapshots``, ``vehicles`` and ``trips``.  Each
-    micro-batch owns one ``batch_id`` folder per table and overwrites it when it is
-    replayed.  Each step reads the table that the step before wrote, so bytes are stored
-    before anything parses them and a lost executor costs one step at most.
+    Tables below ``target``: ``raw``, ``snapshots``, ``vehicles`` and ``trips``, each by
+    day and, below the day, by micro-batch, so a read of some days lists those only.  A
+    micro-batch owns its ``batch_id`` folders and overwrites them when it is replayed.
+    Each step reads the table that the step before wrote, so bytes are stored before
+    anything parses them and a lost executor costs one step at most.
     """
     spark = raw.sparkSession
 
@@ -71,13 +72,21 @@ def ingest_snapshots(
         def write(df: DataFrame, table: str) -> None:
             # Raw bytes go down as they lie.  A first run over an archive spans many days, so
             # the decoded tables are rebalanced, or every task would write a file a day.
-            path = f"{target}/{table}/batch_id={batch_id}"
-            write_daily(df, path, mode="overwrite", rebalance=table != "raw")
+            write_daily(
+                df.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                f"{target}/{table}",
+                mode="overwrite",
+                rebalance=table != "raw",
+                below=("batch_id",),
+                partitionOverwriteMode="dynamic",
+            )
 
         def written(table: str) -> DataFrame:
-            reader = spark.read.schema(SCHEMAS[table])
-            return reader.parquet(f"{target}/{table}/batch_id={batch_id}")
+            own = f"year=*/month=*/day=*/batch_id={batch_id}"
+            return _read(spark, f"{target}/{table}", table, own).drop("batch_id")
 
+        if batch.isEmpty():
+            return
         named = with_names(batch)
         # A name without a time still has a place: the day the file was changed.
         moment = F.coalesce("captured_at", F.unix_seconds("modificationTime"))
@@ -95,8 +104,32 @@ def ingest_snapshots(
     )
 
 
-def read_ingested(spark: SparkSession, target: str, table: str) -> DataFrame:
-    """All micro-batches of one table written by :func:`ingest_snapshots`."""
-    path = f"{target}/{table}"
+def _read(spark: SparkSession, path: str, table: str, folders: str = "") -> DataFrame:
     schema = T.StructType(SCHEMAS[table].fields + _fields(batch_id=T.LongType()))
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    found = f"{path}/{folders}".rstrip("/")
+    return spark.read.schema(schema).option("basePath", path).parquet(found)
+
+
+def read_ingested(
+    spark: SparkSession, target: str, table: str, day: tuple[str, str, str] | None = None
+) -> DataFrame:
+    """All micro-batches of one table written by :func:`ingest_snapshots`.
+
+    With ``day`` (year, month, day as in the folder names), only the folders of that day
+    are listed and read.
+    """
+    folders = "/".join(f"{name}={value}" for name, value in zip(DAY, day or ()))
+    return _read(spark, f"{target}/{table}", table, folders)
+
+
+def compact_day(
+    spark: SparkSession, target: str, compacted: str, table: str, day: tuple[str, str, str]
+) -> None:
+    """Join the micro-batches of a finished day into files of full size below ``compacted``.
+
+    A repeated run replaces that day and no other.  The batches stay where they are, so
+    readers are not disturbed; whoever moves readers over removes them.
+    """
+    rows = read_ingested(spark, target, table, day).drop("batch_id")
+    path = f"{compacted}/{table}"
+    write_daily(rows, path, mode="overwrite", partitionOverwriteMode="dynamic")

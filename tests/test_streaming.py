@@ -6,6 +6,7 @@ from headway.operators import decode as dec
 from headway.operators.vehicles import project_vehicles
 from headway.sources import read_raw, read_raw_stream
 from headway.streaming import (
+    compact_day,
     ingest_snapshots,
     once,
     poll_every,
@@ -104,6 +105,29 @@ def test_replayed_batch_replaces_itself(spark, feed_message, folders, tmp_path):
     assert read_ingested(spark, target, "vehicles").count() == 1
 
 
+def test_days_are_read_and_compacted_alone(spark, feed_message, folders, tmp_path):
+    landing, target, state = folders
+    for day in (18, 19):
+        for second in range(3):
+            content = make.feed(feed_message, [make.full_vehicle], timestamp=second)
+            name = f"vehicle_positions_202511{day}_1938{second:02d}.pb"
+            (landing / name).write_bytes(content)
+    raw = read_raw_stream(spark, str(landing), files_per_trigger=2)
+    ingest_snapshots(raw, target, state, once()).awaitTermination()
+    day = ("2025", "11", "18")
+    one = read_ingested(spark, target, "vehicles", day)
+    assert one.count() == 3 and all("/day=18/batch_id=" in name for name in one.inputFiles())
+    pruned = read_ingested(spark, target, "vehicles").where("day = '18'")
+    assert "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().toString()
+    compacted = str(tmp_path / "compacted")
+    for _ in range(2):  # a repeated run replaces the day
+        compact_day(spark, target, compacted, "vehicles", day)
+    joined = spark.read.schema(one.schema).parquet(f"{compacted}/vehicles").drop("batch_id")
+    assert len(joined.inputFiles()) == 1 < len(one.inputFiles())
+    kept = one.drop("batch_id")
+    assert joined.exceptAll(kept).count() == 0 == kept.exceptAll(joined).count()
+
+
 def test_running_query_reports_and_stops(spark, feed_message, folders):
     landing, target, state = folders
     land(landing, feed_message, "vehicle_positions", 1, [make.full_vehicle])
