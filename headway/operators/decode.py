@@ -35,8 +35,9 @@ def decode(df: DataFrame, content: str = "content", feed_type: Column | None = N
     """Replace the ``content`` column by ``header``, ``entities`` and ``decode_error``.
 
     A snapshot that cannot be decoded, null and empty ones included, keeps its row, with the
-    reason in ``decode_error``.  Numbers beyond a BIGINT become null.  Where ``feed_type`` is given, only entities of that kind are
-    read and a kind without a parser is an error; null reads both kinds.
+    reason in ``decode_error``.  Numbers beyond a BIGINT become null.  Where ``feed_type`` is
+    given, only entities of that kind are read and a kind without a parser is an error; null
+    reads both kinds.
     """
     kept = [name for name in df.columns if name != content]
     kind = F.lit(None).cast("string") if feed_type is None else feed_type
