@@ -66,6 +66,44 @@ def test_the_search_agrees_with_itself_word_by_word(lattice):
         assert lattice.losses[at] == pytest.approx(loss)
 
 
+def best_scores(text: str, model, n: int) -> list[float]:
+    """Scores of the n best segmentations, place by place."""
+    longest, best = max(map(len, model.scores)), [[0.0]]
+    for j in range(1, len(text) + 1):
+        ways = []
+        for i in range(max(0, j - longest), j):
+            score = model.scores.get(text[i:j], (0, model.unknown if i == j - 1 else None))[1]
+            ways += [] if score is None else [score + s for s in best[i]]
+        best.append(sorted(ways, reverse=True)[:n])
+    return best[-1]
+
+
+def test_runs_of_one_character_are_searched_in_bounded_steps(model, lattice, monkeypatch):
+    """Runs have very many equal segmentations; the search must not begin them all."""
+    pushed, push = [0], pieces.heapq.heappush
+
+    def counted(queue, entry):
+        pushed[0] += 1
+        assert pushed[0] <= most, "too many paths"
+        push(queue, entry)
+
+    monkeypatch.setattr(pieces.heapq, "heappush", counted)
+    lengths = [*range(1000, 1065), 2000, 10007, 20000]
+    texts = [f"{c}{'-' * k}" for c in (" ", "end\n") for k in lengths] + ["=" * 10007, "end\n" + "-" * 1001 + "\nnext"]
+    for text in texts:
+        most, pushed[0] = 3 * sum(map(len, lattice._arcs(text))), 0
+        found = lattice.nbest(text, 3)
+        assert len({ids for _, ids in found}) == 3
+        if len(text) < 1100:
+            assert [score for score, _ in found] == pytest.approx(best_scores(text, model, 3))
+        most, pushed[0] = 10**9, 0
+        ids, _, scores, others = lattice.encode([text], 3)
+        ways = [tuple(pieces.alternative(ids.tolist(), edits)) for _, edits in others[0]]
+        assert len({tuple(ids.tolist()), *ways}) == 3
+        same = model.prefix.encode()
+        assert {pieces._decoded(list(way), model.spelled, same) for way in ways} == {text}
+
+
 def test_nbest_of_the_library(model, lattice):
     """Words without rare characters, where the library's single floats are exact."""
     from sentencepiece import sentencepiece_model_pb2 as proto
