@@ -18,6 +18,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 # A narrow key table is broadcast up to this many rows (under 50 MB); beyond, it is shuffled.
 BROADCAST_ROWS = 250_000
 
+_SAME = "doc_id <=> _id and _key = _of"
+
 Made = TypeVar("Made")
 
 
@@ -44,6 +46,23 @@ def without_ids(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> Dat
     return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
 
 
+def without_pairs(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
+    """Rows whose doc_id (null included) and key are not in the stored ``gone``: _id, _of."""
+    keyed = docs.withColumn("_key", key)
+    return keyed.join(bounded(gone), F.expr(_SAME), "left_anti").select(*docs.columns)
+
+
+def without_repeats(docs: DataFrame, repeated: DataFrame, key: Column) -> DataFrame:
+    """One row for each doc_id (null included) and key in the stored ``repeated``: _id, _of."""
+    if repeated.isEmpty():
+        return docs
+    keyed, repeated = docs.withColumn("_key", key), bounded(repeated)
+    lone = keyed.join(repeated, F.expr(_SAME), "left_anti")
+    # A shuffle of the repeated rows only; each task sends one row of those alike.
+    first = keyed.join(repeated, F.expr(_SAME), "left_semi").dropDuplicates(["doc_id", "_key"])
+    return lone.unionByName(first).select(*docs.columns)
+
+
 def empty_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

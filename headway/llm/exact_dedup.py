@@ -15,7 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import SPACE, bounded, empty_if_null, stored, without_ids
+from headway.llm.common import (
+    SPACE,
+    bounded,
+    empty_if_null,
+    stored,
+    without_pairs,
+    without_repeats,
+)
 
 # Fingerprints held by a task before it hands its runs on, and aimed at in a merged run.
 FILTER_ROWS = 1 << 20
@@ -29,6 +36,11 @@ def normalised(text: str = "text") -> Column:
     return F.regexp_replace(empty_if_null(text), SPACE, " ")
 
 
+def text_key() -> Column:
+    """SHA-256 of the normalised text, by which equal texts are told."""
+    return F.sha2(normalised(), 256)
+
+
 def quotient_bits(rows: int) -> int:
     """Bits of the quotient at which a run holds about RUN_ROWS fingerprints."""
     return max(8, int(np.ceil(np.log2(max(rows, 1) / RUN_ROWS))))
@@ -126,10 +138,21 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    decisions = exact_duplicates(docs)
-    dropped = stored(decisions.where(~F.col("kept")).select("doc_id"), "exact-dropped")
-    return without_ids(docs, dropped)
+    """One row of each group of equal texts, with all its columns.
+
+    Of rows that repeat the smallest doc_id one stays.  Rows without an id are not dropped for
+    one with an id; of a text's rows without an id one stays.
+    """
+    grouped = stored(
+        exact_duplicates(docs)
+        .where("group_size > 1")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of"), "kept")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "exact-grouped",
+    )
+    dropped = stored(grouped.where("not kept and _id is not null").select("_id", "_of"), "exact-dropped")
+    repeated = stored(grouped.where("(kept or _id is null) and n > 1").select("_id", "_of"), "exact-repeats")
+    return without_repeats(without_pairs(docs, dropped, text_key()), repeated, text_key())
 
 
 ORACLE = r"""

@@ -18,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import bounded, stored, without_ids
+from headway.llm.common import bounded, stored, without_ids, without_repeats
 from headway.llm.components import components
+from headway.llm.exact_dedup import text_key
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -317,6 +318,15 @@ def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component, with all columns."""
+    """The rows of ``docs`` that stay, one document of each component, with all columns.
+
+    Of rows that repeat one doc_id (or none) and text, white space aside, one stays.
+    """
     dropped = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return without_ids(docs, stored(dropped, "near-dropped"))
+    left = without_ids(docs, stored(dropped, "near-dropped"))
+    again = (
+        left.groupBy(F.col("doc_id").alias("_id"), text_key().alias("_of"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    return without_repeats(left, stored(again.select("_id", "_of"), "near-repeats"), text_key())

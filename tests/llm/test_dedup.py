@@ -136,3 +136,12 @@ def test_dropping_keeps_the_columns(spark):
         kept = drop(docs)
         assert kept.columns == docs.columns
         assert {r["doc_id"] for r in kept.collect()} >= {None, 0, 7, 107} and kept.where("doc_id = 100").count() == 0
+
+
+def test_dropping_leaves_one_of_repeated_rows(spark):
+    texts = [(k, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(4)]
+    repeated = [*texts, *texts[:2], texts[0], (None, "no id here"), (None, "no  id here"), (None, "other"), (9, texts[3][1])]
+    docs = spark.createDataFrame(repeated, "doc_id long, text string").repartition(3)
+    for drop in (exact_dedup.drop_exact_duplicates, near_dedup.drop_near_duplicates):
+        found = [(r["doc_id"], normalised(r["text"])) for r in drop(docs).collect()]
+        assert sorted(found, key=str) == sorted([*texts, (None, "no id here"), (None, "other")], key=str)
