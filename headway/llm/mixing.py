@@ -30,9 +30,10 @@ _KEY = ["no_source", "source"]
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source key, size (number of words; null text has none)."""
+    """doc_id, text key, source key, size (number of words; null text has none)."""
     return docs.select(
         "doc_id",
+        F.xxhash64("text").alias("text_key"),
         F.col("source").isNull().alias("no_source"),
         empty_if_null("source").alias("source"),
         F.regexp_count(empty_if_null("text"), F.lit(WORD)).cast("long").alias("size"),
@@ -142,8 +143,20 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -
     Null sources form one source, ordered last; null text has size 0, and documents of size
     0 are never taken.  Rows that repeat a doc_id are documents of their own; which of
     them gets a copy does not change the result.  An empty table gives no rows.  Reruns agree:
-    copies follow the hash of the doc_id.
+    copies follow the hash of the doc_id, or of the text where that is null.
     """
+    return _placed(docs, weights, cap).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
+def _placed(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """``copies`` and what they follow from, for every row."""
     rows = stored(sized(docs), "mix-sizes")
     sizes = stored(rows.groupBy(*_KEY, "size").agg(F.count(F.lit(1)).alias("n")), "mix-histogram")
     sources = sizes.groupBy(*_KEY).agg(
@@ -173,9 +186,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -
         "_start",
         F.coalesce(F.sum(F.col("n") * F.col("_fraction")).over(along), F.lit(0)) + UNIT // 2,
     )
-    salted = rows.withColumn("_hash", F.xxhash64("doc_id")).withColumn(
-        "_salt", F.expr(f"pmod(_hash, {SALTS})")
-    )
+    hashed = F.when(F.col("doc_id").isNull(), F.col("text_key")).otherwise(F.xxhash64("doc_id"))
+    salted = rows.withColumn("_hash", hashed).withColumn("_salt", F.expr(f"pmod(_hash, {SALTS})"))
     group = [*_KEY, "size", "_salt"]
     earlier = (
         Window.partitionBy(*_KEY, "size").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -190,37 +202,42 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -
         )
     )
     ranked = salted.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*group).orderBy("_hash", "doc_id"))
+        "_rank", F.row_number().over(Window.partitionBy(*group).orderBy("_hash", "doc_id", "text_key"))
     )
     end = F.col("_start") + (F.col("_offset") + F.col("_rank")) * F.col("_fraction")
     placed = ranked.join(offsets, group).withColumn("_end", end)
     extra = F.expr(f"_end div {UNIT} - (_end - _fraction) div {UNIT}")
-    return placed.withColumn("copies", F.col("_base") + extra).select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("copies") * F.col("size")).alias("taken"),
-        "copies",
-    )
+    return placed.withColumn("copies", F.col("_base") + extra)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
-    A doc_id names a document: rows that repeat one share its copies, and a null doc_id is
-    not taken.
+    Copies go by doc_id (null included), text and source, so documents without an id get theirs
+    too.  Rows alike in these share the copies given to them all as evenly as can be.
     """
-    taken = (
-        mixed(docs, weights, cap)
-        .where("copies > 0 and doc_id is not null")
-        .groupBy("doc_id")
-        .agg(F.max("copies").alias("_copies"))
-        .select(F.col("doc_id").alias("_id"), "_copies")
-    )
+    taken = stored(
+        _placed(docs, weights, cap)
+        .groupBy(
+            F.col("doc_id").alias("_id"),
+            F.col("text_key").alias("_of"),
+            F.col("no_source").alias("_none"),
+            F.col("source").alias("_from"),
+        )
+        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_alike"))
+        .where("_copies > 0"),
+        "mix-taken",
+    )
+    same = F.expr(
+        "doc_id <=> _id and _text_key = _of and (source is null) = _none and coalesce(source, '') = _from"
+    )
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    found = keyed.join(taken.where("_alike = 1"), same)
+    alike = taken.where("_alike > 1")
+    if not alike.isEmpty():
+        key = Window.partitionBy("_id", "_of", "_none", "_from").orderBy(F.lit(0))
+        shared = keyed.join(alike, same).withColumn("_rank", F.row_number().over(key))
+        each = F.expr("_copies div _alike + if(_rank <= _copies % _alike, 1, 0)")
+        found = found.unionByName(shared.withColumn("_copies", each).drop("_rank"))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return (
-        docs.join(taken, docs["doc_id"] == F.col("_id"))
-        .withColumn("_copy", times)
-        .select(*docs.columns)
-    )
+    return found.where("_copies > 0").withColumn("_copy", times).select(*docs.columns)

@@ -58,6 +58,20 @@ def test_mix_against_brute_force(spark):
     assert {tuple(r) for r in copies} == {(i, r["copies"]) for i, r in found.items() if r["copies"]}
 
 
+def test_documents_without_an_id_get_their_copies(spark):
+    given = [(i if i % 3 else None, f"{'w ' * (5 + i % 7)}t{i}", f"s{i % 2}") for i in range(300)]
+    given += [given[0]] * 4 + [given[1]] * 3 + [(1, "other text of the same id", "s1")]
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string").repartition(4)
+    decided = mixing.mixed(docs).collect()
+    found = [tuple(r) for r in mixing.mix(docs).collect()]
+    assert len(found) == sum(r["copies"] for r in decided)
+    for source in ("s0", "s1"):
+        words = sum(len(text.split()) for _, text, s in found if s == source)
+        target = next(r["target"] for r in decided if r["source_size"] == sum(len(t.split()) for _, t, s in given if s == source))
+        assert abs(words - target) <= 2 * 12
+    assert any(i is None for i, _, _ in found) and set(found) <= set(given)
+
+
 def test_rates_are_exponentially_tilted(spark):
     """The dual solution against bisection, one source."""
     sizes = spark.createDataFrame([(False, "a", 10, 5), (False, "a", 100, 5)], "no_source boolean, source string, size long, n long")
