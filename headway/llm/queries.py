@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway.llm import (
     chat,
     exact_dedup,
+    fingerprints,
     langid,
     mixing,
     near_dedup,
@@ -78,6 +79,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_near_dedup,
         op10_langid,
+        op11_fingerprints,
     )
 }
 

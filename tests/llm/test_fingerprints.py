@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from headway.llm import fingerprints
+from tests.llm.helpers import SCHEMA, documents, nothing, rows
+
+
+def brute(given: list[tuple]) -> list[tuple]:
+    """Ids, lengths and edited digests in the order of the documents."""
+    keyed = [(i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest(), t or "") for i, t in given]
+    order = sorted(set(keyed))
+    found = []
+    for k, (no_id, doc_id, _, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][3]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        row = (
+            None if no_id else doc_id,
+            len(text),
+            hashlib.sha256(edited.encode()).hexdigest(),
+            fingerprints.written(fingerprints.sketch(text)),
+            fingerprints.written(fingerprints.sketch(edited)),
+        )
+        found += [row] * keyed.count(order[k])
+    return sorted(found, key=str)
+
+
+def shape(found) -> list[tuple]:
+    names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
+    return sorted((tuple(r[n] for n in names) for r in found), key=str)
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 2000])
+def test_against_brute_force(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(fingerprints, "PART_ROWS", part_rows)
+    found = fingerprints.with_next(documents(spark)).collect()
+    assert shape(found) == brute([r[:2] for r in rows()])
+    for r in found:
+        values = (r["near_edited"], r["near_next"], r["in_edited"], r["in_next"])
+        assert all(0 <= v <= 1 for v in values)
+        if r["n_chars"] <= 1:
+            assert r["near_edited"] == 1
+
+
+def test_few_documents(spark):
+    assert fingerprints.with_next(nothing(spark)).count() == 0
+    one = spark.createDataFrame([(7, "abcd", *[None] * 10)], SCHEMA)
+    found = fingerprints.with_next(one).first()
+    assert found["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and found["near_next"] == 1
+    many = spark.createDataFrame([(7, "abcd")] * 500 + [(None, None)] * 500, "doc_id long, text string")
+    found = fingerprints.with_next(many.repartition(5)).groupBy("doc_id", "edited_sha256").count()
+    expected = {(7, hashlib.sha256(b"ab").hexdigest(), 500), (None, hashlib.sha256(b"").hexdigest(), 500)}
+    assert set(map(tuple, found.collect())) == expected
+
+
+def naive(text: str, width: int = 16) -> set:
+    return {text[i : i + width] for i in range(max(1, len(text) - width + 1))} if text else set()
+
+
+def test_sketches_estimate_what_texts_share():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(4000)]
+    book = " ".join(rng.choices(words, k=20_000))
+    note = book[30_000:36_000] + " ".join(rng.choices(words, k=500))
+    one, other = fingerprints.sketch(note), fingerprints.sketch(book)
+    exact, whole = naive(note), naive(book)
+    assert fingerprints.contained(one, other) == pytest.approx(len(exact & whole) / len(exact), abs=0.1)
+    assert fingerprints.likeness(one, other) == pytest.approx(len(exact & whole) / len(exact | whole), abs=0.02)
+    assert len(other) == pytest.approx(len(whole) / fingerprints.SCALE, rel=0.1)
+    halves = np.union1d(fingerprints.sketch(book[:70_000]), fingerprints.sketch(book[70_000 - 15 :]))
+    assert (halves == other).all()
+    assert (fingerprints.read(fingerprints.written(other)) == other).all()
+
+
+def test_chunks_change_nothing(monkeypatch):
+    text = "".join(random.Random(1).choices("abc é日😀", k=5000))
+    whole = fingerprints.sketch(text, 2)
+    monkeypatch.setattr(fingerprints, "CHUNK", 64)
+    assert (fingerprints.sketch(text, 2) == whole).all()
+
+
+def test_hash_rows_merge(spark):
+    docs = documents(spark)
+    found = {}
+    for key, value in fingerprints.hash_rows(docs, "source").collect():
+        found.setdefault(key, set()).add(value)
+    expected = {}
+    for row in rows():
+        hashes = fingerprints.sketch(row[1] or "").tolist()
+        if hashes:
+            expected.setdefault(row[3], set()).update(hashes)
+    assert found == expected
+    inner = fingerprints.hash_rows(docs.where("doc_id = 7")).withColumnRenamed("doc_id", "a")
+    outer = fingerprints.hash_rows(docs).withColumnRenamed("doc_id", "b")
+    pairs = spark.createDataFrame([(7, 102), (7, 3)], "a long, b long")
+    held = {r["b"]: r["contained"] for r in fingerprints.containment(pairs, inner, outer).collect()}
+    assert held[102] == 1 and held[3] < 0.3
