@@ -21,7 +21,7 @@ from headway.llm.common import empty_if_null
 # Code points of a shingle, a power of two.
 WIDTH = 16
 # One hash in SCALE is kept.
-SCALE = 32
+SCALE = 16
 # Code points hashed at once.
 CHUNK = 1 << 20
 

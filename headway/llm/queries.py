@@ -15,6 +15,7 @@ from headway.llm import (
     mixing,
     near_dedup,
     pieces,
+    prefix_trie,
     privacy,
     quality,
     token_counts,
@@ -83,6 +84,10 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_near_dedup,
         op10_langid,
         op11_fingerprints,
+        op12_prefix_trie,
     )
 }
 
@@ -105,4 +111,5 @@ ORACLE: dict[str, str] = {
     "op5_url_filter": url_filter.ORACLE,
     "op6_chat": chat.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
