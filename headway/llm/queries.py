@@ -18,6 +18,7 @@ from headway.llm import (
     prefix_trie,
     privacy,
     quality,
+    repair,
     token_counts,
     url_filter,
 )
@@ -88,6 +89,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_langid,
         op11_fingerprints,
         op12_prefix_trie,
+        op13_repair,
     )
 }
 
