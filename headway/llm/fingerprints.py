@@ -154,8 +154,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     near_next, and the containments in_edited and in_next.
 
     Texts are shuffled once, into parts of the order whose bounds come from the keys alone;
-    the first document of a part is sent to the part before it as well.  A task holds one
-    document and its successor at a time.
+    the first document of a part is sent to the part before it as well.  Sketches are made
+    where the texts arrive.  A task holds one document and its successor at a time.
     """
     text = empty_if_null("text")
     rows = docs.select(
@@ -171,8 +171,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = sorted(tuple(row) for row in keys.mapInArrow(_first, keys.schema).collect())
     dealt = rows.mapInArrow(
         _dealt(heads),
-        "part int, ahead boolean, no_id boolean, id long, digest string, text string, "
-        "hashes binary, copies long",
+        "part int, ahead boolean, no_id boolean, id long, digest string, text string, copies long",
     )
     ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "ahead", *order)
     return ordered.mapInArrow(
@@ -198,14 +197,12 @@ def _dealt(heads: list[tuple]) -> Callable:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3)
             copies: dict[tuple, list[int]] = {}
             for at, key in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)))):
                 copies.setdefault(key, []).append(at)
-            part, ahead, taken, counts, hashes = [], [], [], [], []
+            part, ahead, taken, counts = [], [], [], []
             for key, places in copies.items():
                 own = bisect_right(heads, key) - 1
-                kept = sketch(texts[places[0]].as_py()).tobytes()
                 to = [(own, False)]
                 if heads[own] == key:
                     to.append((own - 1 if own else last, True))
@@ -214,17 +211,15 @@ def _dealt(heads: list[tuple]) -> Callable:
                     ahead.append(early)
                     taken.append(places[0])
                     counts.append(len(places))
-                    hashes.append(kept)
             rows = batch.take(pa.array(taken, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part, pa.int32()),
                     pa.array(ahead, pa.bool_()),
                     *rows.columns,
-                    pa.array(hashes, pa.binary()),
                     pa.array(counts, pa.int64()),
                 ],
-                names=["part", "ahead", *rows.schema.names, "hashes", "copies"],
+                names=["part", "ahead", *rows.schema.names, "copies"],
             )
 
     return deal
@@ -248,13 +243,13 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     pending = key = None
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 7)]
+        columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6)]
         for at, (part, ahead, no_id, doc_id, digest, copies) in enumerate(zip(*columns)):
             if not ahead and key == (part, no_id, doc_id, digest):
                 pending[-1] += copies
                 continue
             text = batch.column(5)[at].as_py()
-            hashes = np.frombuffer(batch.column(6)[at].as_py(), np.uint64)
+            hashes = sketch(text)
             if pending is not None and key[0] == part:
                 _, own, own_digest, kept, repeats = pending
                 half = len(own) // 2
