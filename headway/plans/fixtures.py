@@ -22,9 +22,9 @@ VEHICLES_PER_FEED = 100
 TRIPS_PER_FEED = 1000
 FIRST_SNAPSHOT = 1704067200  # 2024-01-01 00:00:00
 SNAPSHOT_STEP = 20
-# The stop times of a feed are dealt over this many messages by their item, so an order
-# that holds many of them fills several tasks.  The part is added to the captured second.
-PARTS = 16
+# A feed of trips is as many messages as its lines fill; they are dealt by the line's own
+# numbers, so an order that holds many lines fills several messages.
+LINES_PER_MESSAGE = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,7 +174,9 @@ def stop_updates(lineitem: DataFrame) -> DataFrame:
         _unless(supplier, 5, departure).alias("departure"),
     )
     return lineitem.select(
-        F.col("l_orderkey").alias("order_key"), (part % PARTS).alias("part"), update.alias("update")
+        F.col("l_orderkey").alias("order_key"),
+        (part + supplier + line).cast("bigint").alias("deal"),
+        update.alias("update"),
     )
 
 
@@ -183,12 +185,17 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines lead the inner join, as only that lets adaptive execution split an order
     that holds a large part of all lines.  An outer join from the orders could not, so
-    orders without lines are found apart, against distinct keys.
+    orders without lines are found apart, against distinct keys.  How many messages a feed
+    has comes to the lines with their trip, without a join of its own.
     """
     trips = trip_entities(spark, sf_dir)
     lineitem = table(spark, sf_dir, "lineitem")
+    feed = F.expr(f"l_orderkey div {TRIPS_PER_FEED}").alias("feed_no")
+    parts = F.floor(F.count(F.lit(1)) / LINES_PER_MESSAGE) + 1
+    counted = trips.join(lineitem.groupBy(feed).agg(parts.alias("parts")), "feed_no")
     used = lineitem.select(F.col("l_orderkey").alias("order_key")).distinct()
-    lines = stop_updates(lineitem).join(trips, "order_key")
+    lines = stop_updates(lineitem).join(counted, "order_key")
+    lines = lines.withColumn("part", F.col("deal") % F.col("parts")).drop("deal", "parts")
     bare = trips.join(used, "order_key", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
     return lines.unionByName(bare, allowMissingColumns=True)
 
@@ -260,10 +267,12 @@ def raw_snapshots(records: DataFrame, feed_type: str) -> DataFrame:
     )
     moment = captured_at(feed_no) + part
     name = snapshot_filename(F.lit(feed_type), moment, "pb")
+    # Messages of neighbouring feeds may share a second, and so a name, but no folder.
+    folder = F.concat(F.lit("/landing/"), part.cast("string"), F.lit("/"))
     return messages.select(
         "feed_no",
         "part",
-        F.concat(F.lit("/landing/"), name).alias("path"),
+        F.concat(folder, name).alias("path"),
         F.timestamp_seconds(moment).alias("modificationTime"),
         F.length("content").cast("bigint").alias("length"),
         "content",

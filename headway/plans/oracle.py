@@ -97,7 +97,8 @@ trip AS (
     CASE WHEN o_orderkey % 9 <> 0 THEN CAST({EPOCH.format("o_orderdate")} AS BIGINT) END AS "timestamp"
   FROM orders),
 stop_time AS (
-  SELECT l_orderkey AS order_key, l_partkey % 16 AS part,
+  SELECT l_orderkey AS order_key,
+    (l_partkey + l_suppkey + l_linenumber) % (count(*) OVER (PARTITION BY l_orderkey // 1000) // 500 + 1) AS part,
     CASE WHEN l_suppkey % 11 <> 0 THEN CAST(l_linenumber AS BIGINT) END AS stop_sequence,
     CASE WHEN l_partkey % 17 <> 0 THEN l_suppkey || 'N' END AS stop_id,
     CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 5 = 0 THEN CAST(0 AS BIGINT)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway import functions as H
 from headway.functions.trip_ids import TRIP_FIELDS
 from headway.operators import decode as dec
+from headway.operators import frames
 from headway.operators import snapshots as snap
 from headway.operators import stats, trips, vehicles
 from headway.plans import fixtures as fix
@@ -30,6 +31,9 @@ from headway.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Messages of these inputs are small; most of them are cut at this size.
+TRIP_FRAME_BYTES = 1 << 14
+
 RECORD = ("feed_no", "id", "trip_id", "route_id", "timestamp")
 
 
@@ -250,20 +254,27 @@ def raw_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_trip_info(_flat(vehicles.interpret_vehicles(numbered)))
 
 
+def _framed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips by piece: a message is decoded frame by frame, and so is a trip of many lines."""
+    raw = fix.raw_trips(spark, sf_dir).select("feed_no", "part", "content")
+    decoded = frames.decode_in_frames(raw, ("feed_no", "part"), limit=TRIP_FRAME_BYTES)
+    keys = ("feed_no", "part", "entity_pos", "first_update")
+    return trips.project_trips(frames.framed_entities(decoded, *keys[:2]), *keys)
+
+
 @query
 def trip_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips, one row in each part of the feed, with the number of their stop times."""
-    rows = dec.entities(_decoded(fix.raw_trips(spark, sf_dir)), "feed_no", "part")
-    shaped = trips.project_trips(rows, "feed_no", "part")
-    return shaped.withColumn("stop_times", F.size("stop_time_updates").cast("bigint")).drop(
-        "stop_time_updates"
-    )
+    """Trips, one row in each message of the feed, with the number of their stop times."""
+    pieces = _framed_trips(spark, sf_dir)
+    fields = ("feed_no", "part", "entity_pos", "id", "trip_id", "route_id", "timestamp")
+    counted = pieces.groupBy(*fields).agg(F.sum(F.size("stop_time_updates")).alias("stop_times"))
+    return counted.drop("entity_pos")
 
 
 @query
 def stop_time_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dec.entities(_decoded(fix.raw_trips(spark, sf_dir)), "feed_no")
-    return _flat_stop_times(trips.project_trips(rows, "feed_no"))
+    pieces = _framed_trips(spark, sf_dir)
+    return _flat_stop_times(pieces.drop("part", "entity_pos", "first_update"))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +39,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back, which cuts the lineage."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
