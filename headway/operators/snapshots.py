@@ -46,20 +46,22 @@ def parsed_trip_snapshots(good: DataFrame, *keys: str) -> DataFrame:
 def interpret_snapshots(parsed: DataFrame, *keys: str) -> DataFrame:
     """The first 50 vehicles of each stored snapshot, interpreted, next to its full count.
 
-    The cut comes first, so no vehicle beyond it is interpreted.  Snapshots without
-    ``vehicles`` yield no rows; see :func:`without_vehicles`.
+    The cut comes first, so no vehicle beyond it is interpreted.  A snapshot with an empty
+    list keeps one row, with a count of 0 and no vehicle.  Snapshots without ``vehicles``
+    yield no rows; see :func:`without_vehicles`.
     """
     first = parsed.filter(F.col("vehicles").isNotNull()).select(
         *keys,
         F.size("vehicles").cast("bigint").alias("total_vehicles"),
-        F.posexplode(F.slice("vehicles", 1, FIRST_VEHICLES)).alias("entity_pos", "_vehicle"),
+        F.posexplode_outer(F.slice("vehicles", 1, FIRST_VEHICLES)).alias("entity_pos", "_vehicle"),
     )
     return interpret_vehicles(first.select(*keys, "total_vehicles", "entity_pos", "_vehicle.*"))
 
 
 def without_vehicles(parsed: DataFrame) -> DataFrame:
-    """Stored snapshots that interpretation returns as they are."""
-    return parsed.filter(F.col("vehicles").isNull())
+    """Stored snapshots that interpretation returns as they are; malformed ones are none."""
+    bare = parsed.filter(F.col("vehicles").isNull())
+    return bare.filter("status = 'ok'") if "status" in parsed.columns else bare
 
 
 def latest_files(files: DataFrame, *tie_break: str) -> DataFrame:

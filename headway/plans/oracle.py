@@ -244,9 +244,10 @@ SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status
     "json_trip_roundtrip": f"WITH {TRIPS} SELECT * EXCLUDE (feed_no, part) FROM stop_rows",
     "json_pass_through": f"""
 WITH {TRIPS}
-SELECT CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
+SELECT feed_no, part,
+  CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
   count(DISTINCT id) AS trip_count, count(DISTINCT id) AS trips
-FROM stop_rows GROUP BY feed_no, part""",
+FROM stop_rows WHERE (feed_no + part) % 9 <> 4 GROUP BY feed_no, part""",
     "json_one_per_file": f"""
 WITH {VEHICLES}
 SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status AS stop_id,
@@ -260,11 +261,20 @@ SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS label, id, trip_id, route_id FRO
 UNION ALL
 SELECT DISTINCT 'invalid_json', CAST(feed_no AS VARCHAR), NULL, NULL, NULL FROM entity WHERE feed_no % 9 = 4""",
     "interpret_stored_snapshots": f"""
-WITH {PARSED}
-SELECT feed_no, CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
-  id, count(*) OVER (PARTITION BY feed_no) AS total_vehicles, route_name,
+WITH {PARSED},
+feeds AS (
+  SELECT DISTINCT feed_no,
+    CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp
+  FROM entity WHERE feed_no % 9 <> 4),
+first AS (
+  SELECT *, count(*) OVER (PARTITION BY feed_no) AS total FROM tp WHERE feed_no % 7 <> 2
+  QUALIFY row_number() OVER (PARTITION BY feed_no ORDER BY id) <= 50)
+SELECT feeds.feed_no, header_timestamp, id, coalesce(total, 0) AS total_vehicles,
+  'C' || id AS car, 'C' || id AS kept_car, route_name AS kept_route_name, route_name,
   timestamp_readable, {TRIP_INFO}
-FROM tp QUALIFY row_number() OVER (PARTITION BY feed_no ORDER BY id) <= 50""",
+FROM feeds LEFT JOIN first ON first.feed_no = feeds.feed_no""",
+    "json_invalid": f"""
+WITH {VEHICLES} SELECT DISTINCT 'invalid_json' AS status, feed_no FROM entity WHERE feed_no % 9 = 4""",
     "vehicle_count": f"WITH {VEHICLES} SELECT feed_no, count(*) AS vehicle_count FROM vp GROUP BY feed_no",
     "trip_count": f"WITH {TRIPS} SELECT feed_no, count(*) AS trip_count FROM trip GROUP BY feed_no",
     "fetch_stats": f"WITH {ATTEMPTS} SELECT feed_type, {FETCH_COUNTERS} FROM attempts GROUP BY feed_type",

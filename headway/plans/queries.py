@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway import functions as H
 from headway.functions.trip_ids import TRIP_FIELDS
 from headway.operators import decode as dec
+from headway.operators import documents as docs
 from headway.operators import frames
 from headway.operators import snapshots as snap
 from headway.operators import stats, trips, vehicles
@@ -19,6 +20,7 @@ from headway.session import scratch_path
 from headway.sinks import with_day, write_daily, write_parsed
 from headway.sinks.tables import DAY
 from headway.sources import list_snapshots, read_parsed, read_raw_stream, routes
+from headway.sources.documents import field, read_documents
 from headway.sources.raw import with_names
 from headway.streaming import (
     ingest_snapshots,
@@ -344,30 +346,94 @@ def json_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.withColumn("label", F.lit(None).cast("string")).unionByName(bad)
 
 
-@query
-def interpret_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 50 interpreted vehicles of each stored snapshot, with the count of all."""
+def _vehicle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents of vehicles: feed_no, document (a text).
+
+    They have keys beyond the typed ones; some feeds are empty, some documents cut short.
+    """
+    feed_no = F.col("feed_no")
     decoded = _decoded(fix.raw_vehicles(spark, sf_dir))
     parsed = snap.parsed_vehicle_snapshots(dec.good(decoded), "feed_no")
-    stamped = parsed.withColumn("header_timestamp", F.col("header.timestamp"))
-    rows = snap.interpret_snapshots(stamped, "feed_no", "header_timestamp")
-    keys = ("feed_no", "header_timestamp", "id", "total_vehicles")
-    return _flat_trip_info(rows.select(*keys, "route_name", "trip_info", "timestamp_readable"))
+    marked = F.transform("vehicles", lambda v: v.withField("car", F.concat(F.lit("C"), v["id"])))
+    listed = F.when(feed_no % 7 != 2, marked).otherwise(F.filter(marked, lambda v: F.lit(False)))
+    document = F.to_json(
+        F.struct("header", listed.alias("vehicles"), F.struct(feed_no.alias("feed")).alias("note")),
+        {"ignoreNullFields": "false"},
+    )
+    return parsed.select("feed_no", _cut(document, feed_no % 9 == 4).alias("document"))
+
+
+def _trip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents of trips, with a key of their own; some are cut short."""
+    decoded = _decoded(fix.raw_trips(spark, sf_dir))
+    parsed = snap.parsed_trip_snapshots(dec.good(decoded), "feed_no", "part")
+    note = F.struct(F.col("feed_no").alias("feed"), "part").alias("note")
+    document = F.to_json(
+        F.struct("header", "trip_count", "trips", note), {"ignoreNullFields": "false"}
+    )
+    bad = (F.col("feed_no") + F.col("part")) % 9 == 4
+    return parsed.select("feed_no", _cut(document, bad).alias("document"))
+
+
+def _cut(document: Column, bad: Column) -> Column:
+    return F.when(bad, F.substr(document, F.lit(1), F.length(document) - 9)).otherwise(document)
+
+
+@query
+def interpret_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 50 interpreted vehicles of each stored document, with the count of all.
+
+    Keys outside the typed columns come from the document as stored.
+    """
+    path = scratch_path(spark, "vehicle-documents")
+    _vehicle_documents(spark, sf_dir).select("document").write.text(path)
+    stored = read_documents(spark, path, one_per_file=False)
+    feed_no = field(F.col("document"), "$.note.feed", "bigint")
+    rows = docs.interpret_documents(stored.withColumn("feed_no", feed_no), "feed_no")
+    whole = docs.interpreted_vehicle(rows)
+    return _flat_trip_info(
+        rows.select(
+            "feed_no",
+            field(F.col("header"), "$.timestamp", "bigint").alias("header_timestamp"),
+            "id",
+            "total_vehicles",
+            field(F.col("vehicle"), "$.car", "string").alias("car"),
+            F.get_json_object(whole, "$.car").alias("kept_car"),
+            F.get_json_object(whole, "$.route_name").alias("kept_route_name"),
+            "route_name",
+            "trip_info",
+            "timestamp_readable",
+        )
+    )
 
 
 @query
 def json_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of both kinds in one folder; interpretation returns those of trips as stored."""
-    path = scratch_path(spark, "parsed-both")
-    feeds = dec.good(_decoded(fix.raw_vehicles(spark, sf_dir)))
-    write_parsed(snap.parsed_vehicle_snapshots(feeds), path)
-    feeds = dec.good(_decoded(fix.raw_trips(spark, sf_dir)))
-    write_parsed(snap.parsed_trip_snapshots(feeds), path)
-    passed = snap.without_vehicles(read_parsed(spark, path, one_per_file=False))
+    path = scratch_path(spark, "both-documents")
+    for documents in (_vehicle_documents(spark, sf_dir), _trip_documents(spark, sf_dir)):
+        documents.select("document").write.mode("append").text(path)
+    document = F.col("document")
+    passed = docs.passed_documents(read_documents(spark, path, one_per_file=False))
     return passed.select(
-        F.col("header.timestamp").alias("header_timestamp"),
-        "trip_count",
-        F.size("trips").cast("bigint").alias("trips"),
+        field(document, "$.note.feed", "bigint").alias("feed_no"),
+        field(document, "$.note.part", "bigint").alias("part"),
+        field(document, "$.header.timestamp", "bigint").alias("header_timestamp"),
+        field(document, "$.trip_count", "bigint").alias("trip_count"),
+        F.size(field(document, "$.trips", "array<variant>")).cast("bigint").alias("trips"),
+    )
+
+
+@query
+def json_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are no JSON, by the feed that their text still names."""
+    path = scratch_path(spark, "invalid-documents")
+    documents = _vehicle_documents(spark, sf_dir)
+    named = F.concat(F.lit('{"for":'), F.col("feed_no").cast("string"), F.lit(","))
+    documents.select(F.concat(named, F.substr("document", F.lit(2)))).write.text(path)
+    bad = docs.invalid_documents(read_documents(spark, path, one_per_file=False))
+    return bad.select(
+        "status", F.regexp_extract("invalid", '"for":([0-9]+)', 1).cast("bigint").alias("feed_no")
     )
 
 

@@ -1,0 +1,80 @@
+"""Stored documents keep what they were stored with."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from headway.operators import documents as docs
+from headway.operators import snapshots as snap
+from headway.sources import read_parsed
+from headway.sources.documents import field, read_documents
+
+VEHICLE = {"id": "1", "route_id": "A", "trip_id": "092000_A..S02R", "timestamp": 7, "car": {"no": [1, None]}}
+FILES = {
+    "unknown": {"vehicles": [VEHICLE], "header": {"timestamp": 7, "incrementality": 0}, "note": "kept"},
+    "headless": {"vehicles": [{"id": "2"}, {"route_id": 77}, {}]},
+    "empty": {"vehicles": [], "header": {"timestamp": 8}},
+    "none": {"header": {"timestamp": 9}, "note": "kept", "trips": [{"x": 1.5}]},
+    "null": {"vehicles": None, "note": 1},
+    "list": [1, 2],
+}
+
+
+def folder(tmp_path):
+    for name, document in FILES.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(document, indent=2))
+    (tmp_path / "cut.json").write_text('{"header": {"timestamp": 9}, "vehi')
+    (tmp_path / "word.json").write_text("nothing")
+    return str(tmp_path)
+
+
+def name(df):
+    return df.withColumn("name", F.regexp_extract("path", "([a-z]+)[.]json", 1))
+
+
+def test_documents_as_stored(spark, tmp_path):
+    stored = name(read_documents(spark, folder(tmp_path)))
+    bad = {row.name: row.invalid for row in docs.invalid_documents(stored).collect()}
+    assert bad == {"cut": '{"header": {"timestamp": 9}, "vehi', "word": "nothing"}
+    passed = docs.passed_documents(stored).select("name", F.to_json("document").alias("text"))
+    assert {row.name: json.loads(row.text) for row in passed.collect()} == {
+        key: FILES[key] for key in ("none", "list")
+    }
+    rows = docs.interpret_documents(stored, "name")
+    found = rows.select("*", docs.interpreted_vehicle(rows).alias("whole"), F.to_json("header").alias("head"))
+    shown = {(row.name, row.entity_pos): row for row in found.collect()}
+    whole = json.loads(shown["unknown", 0].whole)
+    added = {"route_name", "trip_info", "timestamp_readable"}
+    assert {k: v for k, v in whole.items() if k not in added} == VEHICLE
+    assert whole["route_name"] == "A Train" and whole["trip_info"]["direction_code"] == "S"
+    assert json.loads(shown["unknown", 0].head) == FILES["unknown"]["header"]
+    assert json.loads(shown["headless", 0].head) == {} and shown["headless", 0].total_vehicles == 3
+    assert json.loads(shown["headless", 1].whole) == {"route_id": 77, "route_name": "Route 77"}
+    assert json.loads(shown["headless", 2].whole) == {}
+    assert (shown["empty", None].total_vehicles, shown["empty", None].whole) == (0, None)
+    assert shown["null", None].total_vehicles == 0 and len(shown) == 6
+
+
+def test_lines(spark, tmp_path):
+    lines = [json.dumps(d) for d in FILES.values()] + ["", " ", '{"a":']
+    (tmp_path / "all.txt").write_text("\n".join(lines))
+    stored = read_documents(spark, str(tmp_path), one_per_file=False)
+    assert stored.count() == len(FILES) + 1 and docs.invalid_documents(stored).count() == 1
+    assert stored.where(field(F.col("document"), "$.note", "string") == "kept").count() == 2
+
+
+def test_first_fifty(spark, tmp_path):
+    document = {"vehicles": [{"id": str(i), "n": i} for i in range(120)]}
+    (tmp_path / "many.json").write_text(json.dumps(document))
+    rows = docs.interpret_documents(read_documents(spark, str(tmp_path)), "path").collect()
+    assert [row.id for row in rows] == [str(i) for i in range(50)]
+    assert {row.total_vehicles for row in rows} == {120}
+
+
+def test_typed_form(spark, tmp_path):
+    """The typed reader: malformed files are no passed ones, empty snapshots keep a row."""
+    stored = read_parsed(spark, folder(tmp_path)).cache()
+    assert {row.header.timestamp for row in snap.without_vehicles(stored).collect() if row.header} == {9}
+    assert snap.without_vehicles(stored).where("status <> 'ok'").count() == 0
+    rows = snap.interpret_snapshots(stored.where("status = 'ok'").withColumn("at", F.col("header.timestamp")), "at")
+    assert [(row.at, row.id, row.total_vehicles) for row in rows.where("total_vehicles = 0").collect()] == [(8, None, 0)]
