@@ -254,7 +254,15 @@ SELECT * EXCLUDE (feed_no, entity_pos, current_status, stop_id), current_status
   'ok' AS status, count(*) OVER (PARTITION BY feed_no) AS vehicle_count
 FROM vp""",
     "json_file_listing": """
-SELECT count(DISTINCT event_id // 100) AS files, count(DISTINCT event_id // 100) AS complete FROM events""",
+WITH feeds AS (SELECT DISTINCT event_id // 100 AS n FROM events)
+SELECT count(*) + count(*) FILTER (WHERE n % 3 = 0) AS files, count(*) AS complete,
+  count(*) FILTER (WHERE n % 3 = 0) AS empty
+FROM feeds""",
+    "daily_listing": f"""
+WITH {SNAPSHOTS}, hours AS (
+  SELECT strftime(ts, '%Y/%m/%d') AS day, sum(size) % 5000 AS bytes
+  FROM file GROUP BY day, strftime(ts, '%H'), feed_type)
+SELECT day, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM hours GROUP BY day""",
     "json_snapshot_scan": f"""
 WITH {VEHICLES}
 SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS label, id, trip_id, route_id FROM vp WHERE feed_no % 9 <> 4

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from headway import functions as H
 from headway.functions.trip_ids import TRIP_FIELDS
+from headway.lookups import VEHICLE_POSITIONS
 from headway.operators import decode as dec
 from headway.operators import documents as docs
 from headway.operators import frames
@@ -17,9 +18,9 @@ from headway.operators import stats, trips, vehicles
 from headway.plans import fixtures as fix
 from headway.schemas import STOP_TIME
 from headway.session import scratch_path
-from headway.sinks import with_day, write_daily, write_parsed
+from headway.sinks import with_day, write_daily, write_files, write_parsed
 from headway.sinks.tables import DAY
-from headway.sources import list_snapshots, read_parsed, read_raw_stream, routes
+from headway.sources import list_days, list_snapshots, read_parsed, read_raw, read_raw_stream, routes
 from headway.sources.documents import field, read_documents
 from headway.sources.raw import with_names
 from headway.streaming import (
@@ -235,9 +236,10 @@ def trip_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw table written, scanned and decoded."""
-    path = _written(spark, fix.raw_vehicles(spark, sf_dir), "raw-vehicles")
-    raw = spark.read.parquet(path).select("path", "content")
+    """Raw snapshots written as one ``.pb`` file each, scanned and decoded."""
+    path = scratch_path(spark, "raw-vehicles")
+    write_files(fix.raw_vehicles(spark, sf_dir).select(_filename(), "content"), path)
+    raw = read_raw(spark, path).select("path", "content")
     captured = H.snapshot_epoch(F.col("path"))
     rows = dec.entities(dec.decode(raw), "path").withColumns(
         {"feed_no": _feed_no(captured), "entity_pos": F.col("entity_pos").cast("bigint")}
@@ -438,13 +440,21 @@ def json_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_per_file(spark: SparkSession, sf_dir: str) -> str:
-    """Indented documents, each a file of its own, as the reader meets them outside Spark."""
+    """Indented documents, each a file of its own, as the reader meets them outside Spark.
+
+    Every third feed has left a file of length 0 as well.
+    """
     feeds = dec.good(_decoded(fix.raw_vehicles(spark, sf_dir)))
-    parsed = snap.parsed_vehicle_snapshots(feeds)
+    parsed = snap.parsed_vehicle_snapshots(feeds, "feed_no")
     options = {"ignoreNullFields": "false", "pretty": "true"}
     document = F.to_json(F.struct("header", "vehicle_count", "vehicles"), options)
+    name = H.snapshot_filename(F.lit(VEHICLE_POSITIONS), fix.captured_at(F.col("feed_no")), "json")
+    files = parsed.select("feed_no", name.alias("filename"), F.encode(document, "UTF-8").alias("content"))
+    empty = files.where("feed_no % 3 = 0").select(
+        F.concat(F.lit("empty_"), "filename").alias("filename"), F.lit(b"").alias("content")
+    )
     path = scratch_path(spark, "one-per-file")
-    parsed.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    write_files(files.drop("feed_no").unionByName(empty), path)
     return path
 
 
@@ -458,11 +468,29 @@ def json_one_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many stored documents the listing finds, and whether each has a size and a time."""
-    files = list_snapshots(spark, _one_per_file(spark, sf_dir), "*.txt")
-    complete = (F.col("size") > 0) & F.col("modified").isNotNull()
+    """How many stored documents the listing finds, and how many of them are empty."""
+    files = list_snapshots(spark, _one_per_file(spark, sf_dir))
     return files.agg(
-        F.countDistinct("filename").alias("files"), F.count_if(complete).alias("complete")
+        F.countDistinct("filename").alias("files"),
+        F.count_if((F.col("size") > 0) & F.col("modified").isNotNull()).alias("complete"),
+        F.count_if(F.col("size") == 0).alias("empty"),
+    )
+
+
+@query
+def daily_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files below day folders, one an hour and kind: how many each day has, and their bytes."""
+    hour = F.col("captured_at") - F.col("captured_at") % 3600
+    hours = fix.catalog(spark, sf_dir).groupBy("feed_type", hour.alias("hour")).agg(
+        (F.sum("size") % 5000).cast("int").alias("bytes")
+    )
+    name = H.snapshot_filename(F.col("feed_type"), F.col("hour"), "json")
+    target = F.concat_ws("/", *H.day_folder(F.col("hour")).values(), name)
+    content = F.encode(F.repeat(F.lit("x"), F.col("bytes")), "UTF-8")
+    path = scratch_path(spark, "days")
+    write_files(hours.select(target.alias("filename"), content.alias("content")), path)
+    return list_days(spark, path).groupBy("day").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")
     )
 
 

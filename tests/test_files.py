@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from headway.operators import decode as dec
 from headway.operators import snapshots as snap
 from headway.operators.vehicles import project_vehicles
-from headway.sinks import storage_target, with_day, write_daily, write_parsed
-from headway.sources import list_snapshots, read_parsed, read_raw, read_stops
+from headway.sinks import storage_target, with_day, write_daily, write_files, write_parsed
+from headway.sources import list_days, list_snapshots, read_parsed, read_raw, read_stops
 from headway.sources.raw import with_names
 from tests import snapshots as make
 
@@ -113,3 +113,66 @@ def test_storage_target():
     assert storage_target({"CLOUD_STORAGE_TYPE": "s3", "GCS_BUCKET_NAME": "b"}) is None
     assert storage_target({"CLOUD_STORAGE_TYPE": "tape"}) is None
     assert storage_target({}) is None
+
+
+def test_files_of_rows(spark, tmp_path):
+    rows = [(f"{n % 3}/vehicle_positions_{n}.pb", bytearray(bytes([n]) * n)) for n in range(20)]
+    rows.append(("none.pb", None))
+    files = spark.createDataFrame(rows, "filename string, content binary").repartition(4)
+    for _ in range(2):  # a repeated run writes the same files
+        write_files(files, str(tmp_path / "out"))
+    found = {str(p.relative_to(tmp_path / "out")): p.read_bytes() for p in (tmp_path / "out").rglob("*.pb")}
+    assert found == {name: bytes(content or b"") for name, content in rows}
+    assert not [p for p in (tmp_path / "out").rglob(".*") if p.is_file()]
+    with pytest.raises(Exception, match="no filename"):
+        write_files(spark.createDataFrame([(None, b"x")], files.schema), str(tmp_path / "out"))
+    scanned = read_raw(spark, str(tmp_path / "out"), recursive=True)
+    assert scanned.where("length > 0").count() == 19
+
+
+def test_a_task_that_fails_leaves_whole_files(tmp_path):
+    import pyarrow as pa
+
+    from headway.sinks.files import FileWriter
+
+    batch = pa.RecordBatch.from_pydict({"filename": ["a.pb", "b.pb"], "content": [b"1", b"2"]})
+
+    def lost():
+        yield batch
+        raise OSError("executor lost")
+
+    with pytest.raises(OSError):
+        FileWriter(str(tmp_path)).write(lost())
+    FileWriter(str(tmp_path)).write(iter([batch]))
+    assert {p.name: p.read_bytes() for p in tmp_path.iterdir()} == {"a.pb": b"1", "b.pb": b"2"}
+
+
+def test_listing_counts_empty_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text("{}")
+    (tmp_path / "b.json").write_text("")
+    (tmp_path / "c.txt").write_text("")
+    found = {row.filename: (row.size, row.modified) for row in list_snapshots(spark, str(tmp_path)).collect()}
+    assert {name: size for name, (size, _) in found.items()} == {"a.json": 2, "b.json": 0}
+    assert abs(found["a.json"][1].timestamp() - (tmp_path / "a.json").stat().st_mtime) < 1
+
+
+def test_one_day_is_listed_alone(spark, tmp_path):
+    for day in ("2024/01/30", "2024/01/31", "2024/02/01"):
+        folder = tmp_path / day
+        folder.mkdir(parents=True)
+        for n in range(3):
+            (folder / f"{n}.json").write_text("x" * n)
+    every = list_days(spark, str(tmp_path))
+    assert every.count() == 9 and every.rdd.getNumPartitions() == 3
+    one = every.where("day = '2024/01/31' AND size < 2")
+    assert one.count() == 2 and one.rdd.getNumPartitions() == 1
+    some = every.where("day IN ('2024/01/30', '2024/02/01', '1999/01/01')")
+    assert some.count() == 6 and some.rdd.getNumPartitions() == 3
+    # Nothing but that folder is opened: the others may even be unreadable.
+    from headway.sources.listing import ListingReader
+    from pyspark.sql.datasource import EqualTo
+
+    reader = ListingReader(str(tmp_path / "gone"), "*", True)
+    assert list(reader.pushFilters([EqualTo(("day",), "2024/01/31")])) == []
+    assert [p.value for p in reader.partitions()] == ["2024/01/31"]
+    assert list_days(spark, str(tmp_path / "none")).count() == 0
