@@ -30,8 +30,15 @@ def format_epoch(seconds: Column) -> Column:
 
 
 def iso_time(seconds: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SS``; null outside the years 1 to 9999."""
-    return F.replace(format_epoch(seconds), F.lit(" "), F.lit("T"))
+    """``YYYY-MM-DDTHH:MM:SS``; null outside the years 1 to 9999.
+
+    Six digits of a second follow where ``seconds`` has a fraction.
+    """
+    exact = seconds.cast("decimal(20,6)")
+    whole = F.floor(exact).cast("bigint")
+    micros = ((exact - whole) * 1_000_000).cast("int")
+    fraction = F.when(micros == 0, "").otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
+    return F.concat(F.replace(format_epoch(whole), F.lit(" "), F.lit("T")), fraction)
 
 
 def timestamp_readable(seconds: Column) -> Column:

@@ -51,3 +51,7 @@ ALERTS = "alerts"
 FIRST_VEHICLES = 50
 LATEST_FILES = 20
 POLL_SECONDS_MIN, POLL_SECONDS_DEFAULT, POLL_SECONDS_MAX = 10, 20, 30
+
+# How often a fetch is tried, and the wait after its first failure.
+MAX_ATTEMPTS = 3
+FIRST_WAIT_SECONDS = 5

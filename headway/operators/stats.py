@@ -11,19 +11,40 @@ from headway.functions.times import iso_time
 def fetch_stats(attempts: DataFrame, *keys: str) -> DataFrame:
     """Fetch counters from a log with one row per attempt.
 
-    Input: ``keys``, ``attempt_key`` (BIGINT, increasing over attempts), ``ok``,
-    ``exhausted`` (a failed last attempt), ``fetched_at`` (epoch seconds), ``error``.
-    Totals count attempts while failures count exhausted fetches, so they need not
-    add up.  ``last_error`` belongs to the latest attempt and is null if that one
-    succeeded.
+    Input: ``keys``, ``attempt_key`` (BIGINT, increasing over attempts, none twice for the
+    same keys), ``ok``, ``exhausted`` (a failed last attempt), ``fetched_at`` (epoch seconds,
+    with a fraction if there is one), ``error``.  Totals count attempts while failures count
+    exhausted fetches, so they need not add up.  ``last_error`` belongs to the latest attempt
+    and is null if that one succeeded.
+
+    Only numbers are aggregated, so nothing is sorted; the text of the latest error is looked
+    up in the log afterwards, by the few keys that the counters have.
     """
     ok = F.col("ok")
-    return attempts.groupBy(*keys).agg(
+    counted = attempts.groupBy(*keys).agg(
         F.count("*").alias("total_fetches"),
         F.count_if(ok).alias("successful_fetches"),
         F.count_if("exhausted").alias("failed_fetches"),
-        iso_time(F.max(F.when(ok, F.col("fetched_at")))).alias("last_fetch_time"),
-        F.max_by(F.when(~ok, F.col("error")), "attempt_key").alias("last_error"),
+        F.max(F.when(ok, F.col("fetched_at"))).alias("_fetched"),
+        F.max("attempt_key").alias("_latest"),
+    )
+    latest = counted.select(*(F.col(key).alias(f"_of_{key}") for key in keys), F.col("_latest").alias("_at"))
+    same = F.col("attempt_key") == F.col("_at")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    # Without keys there is one row of counters.
+    errors = attempts.where(~ok).join(latest if keys else F.broadcast(latest), same)
+    found = errors.select(*latest.columns, F.col("error").alias("last_error"))
+    own = F.col("_latest") == F.col("_at")
+    for key in keys:
+        own &= F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return counted.join(found, own, "left").select(
+        *keys,
+        "total_fetches",
+        "successful_fetches",
+        "failed_fetches",
+        iso_time(F.col("_fetched")).alias("last_fetch_time"),
+        "last_error",
     )
 
 

@@ -297,6 +297,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three attempts per event; the fourth would have succeeded where none did."""
     key, attempt = F.col("event_id"), F.col("attempt")
+    # Time of the event, made into one with a fraction of a second.
+    fraction = ((key % 1000) * 1_000).cast("decimal(20,6)") / 1_000_000
     attempts = table(spark, sf_dir, "events").select(
         "event_id",
         "ts",
@@ -310,7 +312,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * 4 + attempt).alias("attempt_key"),
         ok.alias("ok"),
         (~ok & (attempt == 3)).alias("exhausted"),
-        epoch_seconds(F.col("ts")).alias("fetched_at"),
+        (epoch_seconds(F.col("ts")) + fraction).cast("decimal(20,6)").alias("fetched_at"),
         F.when(~ok, F.concat(F.lit("HTTP 503 #"), key.cast("string"))).alias("error"),
     )
 

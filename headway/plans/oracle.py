@@ -128,7 +128,7 @@ tries AS (
 attempts AS (
   SELECT CASE event_id % 2 WHEN 0 THEN 'vehicle_positions' ELSE 'trip_updates' END AS feed_type,
     event_id * 4 + attempt AS n, attempt = event_id % 4 + 1 AS ok, attempt,
-    {EPOCH.format("ts")} AS seconds,
+    {EPOCH.format("ts")} * 1000000 + event_id % 1000 * 1000 AS micros,
     CASE WHEN attempt <> event_id % 4 + 1 THEN 'HTTP 503 #' || event_id END AS error
   FROM tries)"""
 
@@ -136,7 +136,8 @@ FETCH_COUNTERS = """
     count(*) AS total_fetches,
     count(*) FILTER (WHERE ok) AS successful_fetches,
     count(*) FILTER (WHERE NOT ok AND attempt = 3) AS failed_fetches,
-    strftime(make_timestamp(max(seconds) FILTER (WHERE ok) * 1000000), '%Y-%m-%dT%H:%M:%S') AS last_fetch_time,
+    replace(strftime(make_timestamp(max(micros) FILTER (WHERE ok)), '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '')
+      AS last_fetch_time,
     arg_max_null(error, n) AS last_error"""
 
 STAMP = (
@@ -321,11 +322,26 @@ SELECT feed_type, size, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
 FROM file""",
     "stream_vehicles_available_now": f"WITH {VEHICLES} {FLAT_VEHICLES}",
     "stream_status": """
-WITH n AS (SELECT count(DISTINCT event_id // 100) AS n FROM events)
+WITH n AS (
+  SELECT count(DISTINCT event_id // 100) AS n,
+    strftime(make_timestamp((1704067200 + 20 * max(event_id // 100)) * 1000000), '%Y-%m-%dT%H:%M:%S') AS last
+  FROM events)
 SELECT unnest(['vehicle_positions', 'trip_updates', 'alerts']) AS feed_type, n AS snapshots,
   unnest([0, 0, n]) AS quarantined, false AS is_running, 'availableNow=True' AS trigger,
-  CAST(NULL AS VARCHAR) AS last_error
+  CAST(NULL AS VARCHAR) AS last_error, 3 * n AS input_rows, true AS every_batch, true AS timed,
+  unnest([last, last, NULL]) AS last_fetch_time
 FROM n""",
+    "stream_parsed": f"""
+WITH {VEHICLES}, {TRIPS}, stored AS (
+  SELECT feed_no, 0 AS part, 'vehicle_positions' AS feed_type, count(*) FILTER (WHERE has_vehicle) AS n
+  FROM entity GROUP BY feed_no
+  UNION ALL
+  SELECT feed_no, part, 'trip_updates', count(DISTINCT id) FROM stop_rows GROUP BY feed_no, part)
+SELECT feed_type || '_' || {STAMP.format("%Y%m%d_%H%M%S")} || '.pb' AS filename, feed_type,
+  {STAMP.format("%Y")} AS year, {STAMP.format("%m")} AS month, {STAMP.format("%d")} AS day,
+  CASE WHEN feed_no % 5 = 0 THEN CAST(0 AS BIGINT) ELSE 1704067200 + 20 * feed_no END AS header_timestamp,
+  n AS counted, n AS listed
+FROM stored""",
     "stream_mixed_kinds": f"""
 WITH {VEHICLES}, own AS (
   SELECT feed_no, 0 AS part, id, trip_id, 'vehicle_positions' AS feed_type FROM vp

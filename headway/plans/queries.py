@@ -25,11 +25,16 @@ from headway.sources.documents import field, read_documents
 from headway.sources.raw import with_names
 from headway.streaming import (
     ingest_snapshots,
+    life_totals,
+    log_progress,
     once,
     read_ingested,
     status_totals,
+    stop_logging,
     stream_vehicles,
+    supervise,
 )
+from headway.streaming.status import setting_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -575,7 +580,7 @@ def daily_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("feed_type", "size", *DAY, key.alias("object_key"))
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed(spark: SparkSession, sf_dir: str, files_per_trigger: int = 100_000) -> DataFrame:
     """A stream of raw vehicle snapshots."""
     raw = fix.raw_vehicles(spark, sf_dir).drop("feed_no", "part")
     # One url serves all kinds, so every message lands under the name of each.
@@ -583,7 +588,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.expr("replace(path, 'vehicle_positions', kind)")
     landing = scratch_path(spark, "stream-landing")
     raw.withColumn("kind", F.explode(kinds)).withColumn("path", name).drop("kind").write.parquet(landing)
-    return read_raw_stream(spark, landing, "parquet")
+    return read_raw_stream(spark, landing, "parquet", files_per_trigger)
 
 
 @query
@@ -596,15 +601,21 @@ def stream_vehicles_available_now(spark: SparkSession, sf_dir: str) -> DataFrame
     return _flat(shaped.drop("path", "entity_pos"))
 
 
-@query
-def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicles and trips of one ingestion, by day; a trip has a row in each part."""
+def _ingested_pair(spark: SparkSession, sf_dir: str) -> str:
+    """Messages of both kinds taken in; gives the folder of the tables."""
     landing = scratch_path(spark, "ingest-landing")
     for raw in (fix.raw_vehicles(spark, sf_dir), fix.raw_trips(spark, sf_dir)):
         raw.drop("feed_no", "part").write.mode("append").parquet(landing)
     target, state = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-state")
     raw = read_raw_stream(spark, landing, "parquet")
     ingest_snapshots(raw, target, state, once()).awaitTermination()
+    return target
+
+
+@query
+def stream_pair_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles and trips of one ingestion, by day; a trip has a row in each part."""
+    target = _ingested_pair(spark, sf_dir)
     columns = ("path", *DAY, "id", "trip_id", "route_id", "timestamp")
     union = snap.union_feeds(
         read_ingested(spark, target, "vehicles").select(*columns),
@@ -654,8 +665,41 @@ def _filename() -> Column:
 
 @query
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of an ingestion that takes the raw table in."""
+    """Totals of a supervised ingestion that takes the raw table in, over its whole life."""
     target, state = scratch_path(spark, "status"), scratch_path(spark, "status-state")
-    running = ingest_snapshots(_landed(spark, sf_dir), target, state, once())
-    running.awaitTermination()
-    return status_totals(running, target, once())
+    progress = scratch_path(spark, "status-progress")
+    landed = _landed(spark, sf_dir, files_per_trigger=3)
+    log = log_progress(spark, progress)
+    running = supervise(lambda: ingest_snapshots(landed, target, state, once()))
+    log.settle(running)
+    stop_logging(spark, log)
+    batches = read_ingested(spark, target, "raw").agg(F.countDistinct("batch_id").alias("_batches"))
+    life = life_totals(spark, progress).join(batches, F.col("batches") == F.col("_batches"), "left")
+    # One query has run, so there is one row of totals for every kind.
+    whole = life.select(
+        "input_rows",
+        F.col("_batches").isNotNull().alias("every_batch"),
+        F.col("last_batch_at").isNotNull().alias("timed"),
+        F.lit(setting_of(once())).alias("trigger"),
+    )
+    return status_totals(running, target, once()).join(F.broadcast(whole), "trigger")
+
+
+@query
+def stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored JSON form that an ingestion wrote beside the bytes, with its counts."""
+    target = _ingested_pair(spark, sf_dir)
+
+    def read(table: str, rows: str, count: str, kind: str) -> DataFrame:
+        return read_ingested(spark, target, table).select(
+            _filename(),
+            F.lit(kind).alias("feed_type"),
+            *DAY,
+            F.col("header.timestamp").alias("header_timestamp"),
+            F.col(count).alias("counted"),
+            F.size(rows).cast("bigint").alias("listed"),
+        )
+
+    return read("parsed_vehicles", "vehicles", "vehicle_count", "vehicle_positions").unionByName(
+        read("parsed_trips", "trips", "trip_count", "trip_updates")
+    )

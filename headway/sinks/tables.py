@@ -20,9 +20,10 @@ def write_daily(
     mode: str = "append",
     rebalance: bool = True,
     below: tuple[str, ...] = (),
+    source: str = "parquet",
     **options: str,
 ) -> None:
-    """Write Parquet below ``year=/month=/day=``; ``df`` has those columns.
+    """Write Parquet, or JSON with explicit nulls, below ``year=/month=/day=``; ``df`` has those columns.
 
     With ``rebalance`` adaptive execution gives each day as many tasks as its size asks
     for: a hot day is split and small days are joined, so neither one huge nor
@@ -30,7 +31,8 @@ def write_daily(
     Columns named in ``below`` become folders below the day; ``options`` go to the writer.
     """
     shaped = df.hint("rebalance", *DAY) if rebalance else df
-    shaped.write.mode(mode).options(**options).partitionBy(*DAY, *below).parquet(path)
+    writer = shaped.write.mode(mode).options(**options).partitionBy(*DAY, *below)
+    writer.option("ignoreNullFields", "false").format(source).save(path)
 
 
 def write_parsed(parsed: DataFrame, path: str, mode: str = "append") -> None:

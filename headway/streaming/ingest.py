@@ -6,15 +6,26 @@ held back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from headway.operators.decode import decode, entities
+from headway.lookups import TRIP_UPDATES, VEHICLE_POSITIONS
+from headway.operators.decode import decode, entities, good
+from headway.operators.snapshots import parsed_trip_snapshots, parsed_vehicle_snapshots
 from headway.operators.trips import project_trips
 from headway.operators.vehicles import project_vehicles
-from headway.schemas import DECODED, RAW_FILE, TRIP_ROW, VEHICLE_ROW
+from headway.schemas import (
+    DECODED,
+    HEADER,
+    JSON_TRIP,
+    JSON_VEHICLE,
+    RAW_FILE,
+    TRIP_ROW,
+    VEHICLE_ROW,
+)
 from headway.sinks.tables import DAY, with_day, write_daily
 from headway.sources.raw import with_names
 
@@ -28,12 +39,27 @@ _DAYS = [T.StructField(name, T.StringType()) for name in DAY]
 _RECORD = [RAW_FILE["path"]] + _NAMES + _fields(entity_pos=T.IntegerType())
 _FILE = [RAW_FILE[name] for name in ("path", "modificationTime", "length")]
 
+_DIGEST = _fields(digest=T.StringType())
+
 SCHEMAS = {
-    "raw": T.StructType(RAW_FILE.fields + _NAMES + _DAYS),
+    "raw": T.StructType(RAW_FILE.fields + _NAMES + _DIGEST + _DAYS),
+    "decoded": T.StructType(_DIGEST + DECODED.fields + _DAYS),
     "snapshots": T.StructType(_FILE + _NAMES + DECODED.fields + _DAYS),
+    "parsed_vehicles": T.StructType(
+        [RAW_FILE["path"], *_fields(header=HEADER, vehicle_count=T.LongType())]
+        + _fields(vehicles=T.ArrayType(JSON_VEHICLE))
+        + _DAYS
+    ),
+    "parsed_trips": T.StructType(
+        [RAW_FILE["path"], *_fields(header=HEADER, trip_count=T.LongType())]
+        + _fields(trips=T.ArrayType(JSON_TRIP))
+        + _DAYS
+    ),
     "vehicles": T.StructType(_RECORD + VEHICLE_ROW.fields + _DAYS),
     "trips": T.StructType(_RECORD + TRIP_ROW.fields + _DAYS),
 }
+# The parsed half of the pair is JSON, as stored; the other tables are Parquet.
+_JSON = ("parsed_vehicles", "parsed_trips")
 
 
 def stream_vehicles(raw: DataFrame, target: str, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -58,26 +84,31 @@ def stream_vehicles(raw: DataFrame, target: str, checkpoint: str, trigger: dict)
 def ingest_snapshots(
     raw: DataFrame, target: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
-    """Keep raw and decoded snapshots as a pair, plus flat vehicles and trips.
+    """Keep raw and parsed snapshots as a pair, plus flat vehicles and trips.
+
+    Tables below ``target``: ``raw``; ``decoded``, by content; ``snapshots``; the stored JSON
+    form with its counts, ``parsed_vehicles`` and ``parsed_trips``; ``vehicles`` and ``trips``.
+    Each lies by day and, below the day, by micro-batch, so a read of some days lists those
+    only.  A micro-batch owns its ``batch_id`` folders and overwrites them when it is
+    replayed.  Each step reads the table that the step before wrote, so bytes are stored
+    before anything parses them and a lost executor costs one step at most.
 
-    Tables below ``target``: ``raw``, ``snapshots``, ``vehicles`` and ``trips``, each by
-    day and, below the day, by micro-batch, so a read of some days lists those only.  A
-    micro-batch owns its ``batch_id`` folders and overwrites them when it is replayed.
-    Each step reads the table that the step before wrote, so bytes are stored before
-    anything parses them and a lost executor costs one step at most.
+    As one url serves several kinds, the same bytes may come under several names.  In a
+    micro-batch each content is decoded once; a name then takes the entities of its kind.
     """
     spark = raw.sparkSession
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         def write(df: DataFrame, table: str) -> None:
             # Raw bytes go down as they lie.  A first run over an archive spans many days, so
-            # the decoded tables are rebalanced, or every task would write a file a day.
+            # the other tables are rebalanced, or every task would write a file a day.
             write_daily(
                 df.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                 f"{target}/{table}",
                 mode="overwrite",
                 rebalance=table != "raw",
                 below=("batch_id",),
+                source="json" if table in _JSON else "parquet",
                 partitionOverwriteMode="dynamic",
             )
 
@@ -85,13 +116,28 @@ def ingest_snapshots(
             own = f"year=*/month=*/day=*/batch_id={batch_id}"
             return _read(spark, f"{target}/{table}", table, own).drop("batch_id")
 
-        if batch.isEmpty():
-            return
-        named = with_names(batch)
+        # The batch itself is read once, as Spark counts its rows at every read.
+        named = with_names(batch).withColumn("digest", F.sha2(F.coalesce("content", F.lit(b"")), 256))
         # A name without a time still has a place: the day the file was changed.
         moment = F.coalesce("captured_at", F.unix_seconds("modificationTime"))
         write(with_day(named, moment), "raw")
-        write(decode(written("raw"), feed_type=F.col("feed_type")), "snapshots")
+        try:
+            written("raw")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return  # files without rows
+        # Of the names of a content, the first one has it decoded; only names are shuffled.
+        first = written("raw").groupBy("digest").agg(F.min("path").alias("path"))
+        once = written("raw").join(first, ["digest", "path"], "left_semi")
+        write(decode(once.select("digest", "content", *DAY)), "decoded")
+        write(_snapshots(written("raw"), written("decoded")), "snapshots")
+        for kind, parsed, table in (
+            (VEHICLE_POSITIONS, parsed_vehicle_snapshots, "parsed_vehicles"),
+            (TRIP_UPDATES, parsed_trip_snapshots, "parsed_trips"),
+        ):
+            own = good(written("snapshots")).where(F.col("feed_type").eqNullSafe(kind))
+            write(parsed(own, "path", *DAY), table)
         rows = entities(written("snapshots"), *_KEYS, *DAY)
         write(project_vehicles(rows, *_KEYS, "entity_pos", *DAY), "vehicles")
         write(project_trips(rows, *_KEYS, "entity_pos", *DAY), "trips")
@@ -104,10 +150,32 @@ def ingest_snapshots(
     )
 
 
+def _snapshots(raw: DataFrame, decoded: DataFrame) -> DataFrame:
+    """Decoded contents under every name they came by, each as the kind that its name states."""
+    kind = F.col("feed_type")
+    contents = decoded.select("digest", *DECODED.names)
+    known = kind.isNull() | kind.isin(VEHICLE_POSITIONS, TRIP_UPDATES)
+    unknown = F.concat(F.lit("ValueError: no parser for feed type "), kind)
+
+    def of_kind(entity: Column) -> Column:
+        vehicle = F.when(~kind.eqNullSafe(F.lit(TRIP_UPDATES)), entity["vehicle"])
+        update = F.when(~kind.eqNullSafe(F.lit(VEHICLE_POSITIONS)), entity["trip_update"])
+        return F.struct(entity["id"].alias("id"), vehicle.alias("vehicle"), update.alias("trip_update"))
+
+    return raw.drop("content").join(contents, "digest").select(
+        *[field.name for field in _FILE + _NAMES],
+        F.when(known, F.col("header")).alias("header"),
+        F.when(known, F.transform("entities", of_kind)).alias("entities"),
+        F.when(known, F.col("decode_error")).otherwise(unknown).alias("decode_error"),
+        *DAY,
+    )
+
+
 def _read(spark: SparkSession, path: str, table: str, folders: str = "") -> DataFrame:
     schema = T.StructType(SCHEMAS[table].fields + _fields(batch_id=T.LongType()))
     found = f"{path}/{folders}".rstrip("/")
-    return spark.read.schema(schema).option("basePath", path).parquet(found)
+    source = "json" if table in _JSON else "parquet"
+    return spark.read.schema(schema).option("basePath", path).format(source).load(found)
 
 
 def read_ingested(
@@ -132,4 +200,5 @@ def compact_day(
     """
     rows = read_ingested(spark, target, table, day).drop("batch_id")
     path = f"{compacted}/{table}"
-    write_daily(rows, path, mode="overwrite", partitionOverwriteMode="dynamic")
+    source = "json" if table in _JSON else "parquet"
+    write_daily(rows, path, mode="overwrite", source=source, partitionOverwriteMode="dynamic")

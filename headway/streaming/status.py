@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from headway.functions.times import iso_time
 from headway.streaming.ingest import read_ingested
 
 STATUS = (
@@ -16,25 +17,28 @@ STATUS = (
 )
 
 
-def _setting(trigger: dict | None) -> str | None:
+def setting_of(trigger: dict | None) -> str | None:
+    """A trigger as text."""
     return ", ".join(f"{name}={value}" for name, value in (trigger or {}).items()) or None
 
 
 def status_totals(query: StreamingQuery, target: str, trigger: dict | None = None) -> DataFrame:
     """Per feed kind: snapshots taken in and quarantined by all batches, and the live state.
 
-    The counts come from the tables below ``target``, so they cover the whole life of an
+    ``last_fetch_time`` is when the latest snapshot was captured that could be decoded.  The counts come from the tables below ``target``, so they cover the whole life of an
     ingestion and not only the micro-batches that Spark still remembers.
     """
     spark = SparkSession.active()
     problem = query.exception()
     totals = read_ingested(spark, target, "snapshots").groupBy("feed_type").agg(
-        F.count("*").alias("snapshots"), F.count("decode_error").alias("quarantined")
+        F.count("*").alias("snapshots"),
+        F.count("decode_error").alias("quarantined"),
+        iso_time(F.max(F.when(F.col("decode_error").isNull(), F.col("captured_at")))).alias("last_fetch_time"),
     )
     return totals.withColumns(
         {
             "is_running": F.lit(query.isActive),
-            "trigger": F.lit(_setting(trigger)).cast("string"),
+            "trigger": F.lit(setting_of(trigger)).cast("string"),
             "last_error": F.lit(str(problem) if problem else None).cast("string"),
         }
     )
@@ -47,7 +51,7 @@ def status_frame(query: StreamingQuery, trigger: dict | None = None) -> DataFram
     (``spark.sql.streaming.numRecentProgressUpdates``).
     """
     problem = query.exception()
-    setting = _setting(trigger)
+    setting = setting_of(trigger)
     rows = []
     for progress in query.recentProgress:
         report = json.loads(progress.json)

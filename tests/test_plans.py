@@ -72,3 +72,9 @@ def test_parsed_trip_keeps_nested_pruning(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "snapshots"))
     rows = project_vehicles(dec.entities(stored, "feed_no"), "feed_no").select("route_id")
     assert "stop_time_update" not in plan(rows).split("ReadSchema:")[1]
+
+
+@pytest.mark.parametrize("name", ["fetch_stats", "fetch_stats_total"])
+def test_counters_are_not_sorted(spark, name):
+    text = plan(QUERIES[name](spark, DATA))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
