@@ -33,6 +33,8 @@ WINDOW = 10
 CONTEXTS = 3
 # Shares of an entity's information from which a term is generalised, or removed.
 GENERALISED, REMOVED = 0.9, 0.97
+# Terms are broadcast up to so many bytes.
+BROADCAST_BYTES = 1 << 24
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -105,11 +107,20 @@ def _outside(spans: list[Span]) -> Callable[[int, int], bool]:
     return lambda start, end: all(end <= a or start >= b for _, a, b in spans)
 
 
+_MENTIONS = "entity string, term string, context long, n_entity int, n_both int"
+
+
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entity, context and term of every mention, once per document."""
+    """Entity, term and context of every mention, once per document.
+
+    ``n_entity`` and ``n_both`` are 1 in one row of the document for each entity, and for each
+    entity and term, so their sums count documents, whatever the documents' ids.
+    """
+    names = [part.split()[0] for part in _MENTIONS.split(", ")]
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32())
     for batch in batches:
-        rows = set()
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        rows = []
+        for text in batch.column(0).to_pylist():
             text = text or ""
             spans = base_spans(text)
             if not spans:
@@ -117,19 +128,20 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             free, words = _outside(spans), list(_terms(text))
             words = [word for word in words if free(*word[1:])]
             starts = [word[1] for word in words]
+            found: dict[str, set] = {}
             for kind, start, end in spans:
                 at = bisect_left(starts, start)
                 near = [word[0] for word in words[max(0, at - WINDOW) : at + WINDOW]]
                 context = xxhash.xxh64_intdigest("\0".join(near).encode()) - (1 << 63)
-                rows.update((f"{kind}:{text[start:end]}", term, context, doc_id) for term in near)
-        columns = list(zip(*sorted(rows, key=str))) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(column, kind)
-                for column, kind in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))
-            ],
-            names=["entity", "term", "context", "doc_id"],
-        )
+                found.setdefault(f"{kind}:{text[start:end]}", set()).update((t, context) for t in near)
+            for entity, seen in found.items():
+                rows.append((entity, None, 0, 1, 0))
+                last = None
+                for term, context in sorted(seen):
+                    rows.append((entity, term, context, 0, int(term != last)))
+                    last = term
+        columns = list(zip(*rows)) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def _frequencies(wanted) -> Callable:
@@ -150,29 +162,32 @@ def _frequencies(wanted) -> Callable:
     return count
 
 
+def _is_small(terms: DataFrame, few: int = BROADCAST_ROWS) -> bool:
+    """Whether terms may be broadcast: by their number and by their bytes."""
+    n, size = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    return n <= few and size <= BROADCAST_BYTES
+
+
 def disclosing_terms(docs: DataFrame, window_contexts: int = CONTEXTS) -> DataFrame:
     """Terms above the threshold: term, kind (of the entity most revealed), share.
 
     With N documents, c(e) with the entity, c(t) with the term and c(e, t) where the term
     stands near the entity, the share of the entity's information is
     log(N c(e, t) / (c(e) c(t))) / log(N / c(e)).  An entity in every document has no
-    information and cannot be disclosed.
+    information and cannot be disclosed.  Every row is a document, whatever its doc_id; null
+    text holds nothing.  Only ``text`` is read.  An empty table gives no rows.
     """
-    seen = stored(
-        docs.select("doc_id", "text").mapInArrow(
-            _mentions, "entity string, term string, context long, doc_id long"
-        ),
-        "privacy-mentions",
-    )
-    entities = seen.groupBy("entity").agg(F.countDistinct("doc_id").alias("c_entity"))
+    seen = stored(docs.select("text").mapInArrow(_mentions, _MENTIONS), "privacy-mentions")
+    entities = seen.groupBy("entity").agg(F.sum("n_entity").alias("c_entity"))
     pairs = stored(
-        seen.groupBy("entity", "term")
-        .agg(F.countDistinct("context").alias("contexts"), F.countDistinct("doc_id").alias("c_both"))
+        seen.where("term is not null")
+        .groupBy("entity", "term")
+        .agg(F.countDistinct("context").alias("contexts"), F.sum("n_both").alias("c_both"))
         .where(F.col("contexts") >= window_contexts),
         "privacy-pairs",
     )
     terms = stored(pairs.select("term").distinct(), "privacy-terms")
-    few = terms.count() <= BROADCAST_ROWS
+    few = _is_small(terms)
     wanted = docs.sparkSession.sparkContext.broadcast({x[0] for x in terms.collect()}) if few else None
     counts = docs.select("text").mapInArrow(_frequencies(wanted), "term string, n long")
     if not few:
@@ -197,41 +212,80 @@ def _digest(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def _judged(text: str, hits: list[Span]) -> tuple:
-    base = base_spans(text)
-    free = _outside(base)
-    spans = base + [hit for hit in sorted(hits, key=lambda h: h[1]) if free(*hit[1:])]
-    counts = Counter(kind for kind, _, _ in base)
-    written = hashlib.sha256(_digest(base).encode()).hexdigest()
-    return *(counts[kind] for kind in KINDS), written, _digest(spans), len(spans) - len(base)
+def rewritten(text: str, base: list[Span], hits: list[tuple[int, int, str]]) -> str:
+    """A text with every span replaced: base spans by their kind, terms by what is given.
+
+    Spans that overlap or touch are replaced together, by the kind of the longest base span
+    among them (of the first kind as listed, if several are), or, of terms, by what
+    generalises, if any does.
+    """
+    edits = [(a, b, (0, a - b, KINDS.index(kind)), f"[{kind}]") for kind, a, b in base]
+    edits += [(a, b, (1, not by, 0), by) for a, b, by in hits]
+    out, at = [], 0
+    end, rank, by = -1, None, ""
+    for a, b, strength, instead in sorted(edits):
+        if a <= end:
+            end = max(end, b)
+            if strength < rank:
+                rank, by = strength, instead
+            continue
+        if rank is not None:
+            out.append(by)
+            at = end
+        out.append(text[at:a])
+        end, rank, by = b, strength, instead
+    if rank is not None:
+        out.append(by)
+        at = end
+    return "".join([*out, text[at:]])
 
 
 _RESULT = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-    "spans string, n_term long"
+    "spans string, n_term long, sanitised_sha256 string"
 )
 
 
-def _find(wanted) -> Callable:
+def _judged(text: str | None, found: list[tuple[int, int, str]], whole: bool) -> tuple:
+    """What _RESULT says of a text; its rewritten form itself if ``whole``."""
+    given, text = text, text or ""
+    base = base_spans(text)
+    free = _outside(base)
+    hits = [hit for hit in sorted(found) if free(*hit[:2])]
+    new = rewritten(text, base, hits)
+    if whole:
+        return (None if given is None else new,)
+    counts = Counter(kind for kind, _, _ in base)
+    return (
+        *(counts[kind] for kind in KINDS),
+        hashlib.sha256(_digest(base).encode()).hexdigest(),
+        _digest(base + [(TERM, a, b) for a, b, _ in hits]),
+        len(hits),
+        hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(),
+    )
+
+
+def _find(wanted, schema: str, whole: bool) -> Callable:
+    """Rows from (doc_id, text), and the hits of the text where no terms are broadcast."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    types = [pa.int64() if part.split()[1] == "long" else pa.string() for part in schema.split(", ")]
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = wanted.value if wanted else None
         for batch in batches:
             rows = []
             hits = batch.column(2).to_pylist() if terms is None else [None] * batch.num_rows
             for text, given in zip(batch.column(1).to_pylist(), hits):
-                text = text or ""
                 if terms is None:
-                    found = [(TERM, x["start"], x["end"]) for x in given or ()]
-                elif terms and not terms.isdisjoint(_term_set(text)):
-                    found = [(TERM, a, b) for word, a, b in _terms(text) if word in terms]
+                    found = [(x["start"], x["end"], x["instead"]) for x in given or ()]
+                elif terms and text and not terms.keys().isdisjoint(_term_set(text)):
+                    found = [(a, b, terms[word]) for word, a, b in _terms(text) if word in terms]
                 else:
                     found = []
-                rows.append(_judged(text, found))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
-            columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
+                rows.append(_judged(text, found, whole))
+            columns = list(zip(*rows)) or [()] * (len(names) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns],
-                names=[part.split()[0] for part in _RESULT.split(", ")],
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, types[1:]))], names=names
             )
 
     return find
@@ -239,80 +293,66 @@ def _find(wanted) -> Callable:
 
 def _all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = list(zip(*_terms(text or ""))) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([doc_id] * len(found[0]), pa.int64()),
+                    pa.array([key] * len(found[0]), pa.string()),
                     pa.array(found[0], pa.string()),
                     pa.array(found[1], pa.int32()),
                     pa.array(found[2], pa.int32()),
                 ],
-                names=["doc_id", "term", "start", "end"],
+                names=["key", "term", "start", "end"],
             )
 
 
-def personal_data(docs: DataFrame, few: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, counts per base kind, base_sha256, spans, n_term.
-
-    Null text counts as empty and has no spans.  Base spans are always kept; a disclosing term
-    adds a span where it does not touch one.  Repeated rows get equal results; other columns
-    are not read.  Disclosing terms are broadcast up to ``few``; beyond, the terms of all
-    documents meet them in a join by term, which gives the same spans.
-    """
-    terms = disclosing_terms(docs).select("term")
-    texts = docs.select("doc_id", "text")
-    if terms.count() <= few:
-        wanted = docs.sparkSession.sparkContext.broadcast({x[0] for x in terms.collect()})
-        return texts.mapInArrow(_find(wanted), _RESULT)
-    hits = (
-        texts.dropDuplicates(["doc_id"])
-        .mapInArrow(_all_terms, "doc_id long, term string, start int, end int")
-        .join(terms, "term", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "end")).alias("hits"))
-    )
-    return texts.join(hits, "doc_id", "left").mapInArrow(_find(None), _RESULT)
-
-
-def sanitised(docs: DataFrame) -> DataFrame:
-    """doc_id and text: entities and weaker terms as their kind, stronger terms removed."""
-    strength = disclosing_terms(docs).select(
+def _found(docs: DataFrame, few: int, schema: str, whole: bool) -> DataFrame:
+    terms = disclosing_terms(docs).select(
         "term",
         F.when(F.col("share") >= REMOVED, "")
         .otherwise(F.concat(F.lit("["), "kind", F.lit("-related]")))
         .alias("instead"),
     )
-    texts = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
-    spans = personal_data(texts).where("spans <> ''").select(
-        "doc_id", F.explode(F.split("spans", ",")).alias("span")
-    )
-    part = F.split("span", ":")
-    placed = spans.select(
-        "doc_id", part[0].alias("kind"), part[1].cast("int").alias("a"), part[2].cast("int").alias("b")
-    )
-    word = F.when(F.col("kind") == TERM, F.lower(F.expr("substring(text, a + 1, b - a)")))
-    written = (
-        placed.join(texts, "doc_id")
-        .withColumn("term", word)
-        .join(strength, "term", "left")
-        .select("doc_id", "a", "b", F.coalesce("instead", F.concat(F.lit("["), "kind", F.lit("]"))).alias("by"))
-    )
-    per_doc = written.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("a", "b", "by"))).alias("edits")
+    texts = docs.select("doc_id", "text")
+    if _is_small(terms, few):
+        wanted = docs.sparkSession.sparkContext.broadcast(dict(map(tuple, terms.collect())))
+        return texts.mapInArrow(_find(wanted, schema, whole), schema)
+    # Where terms stand follows from the text alone, so the text's digest is the key.
+    keyed = texts.withColumn("key", F.sha2("text", 256))
+    hits = (
+        keyed.where("text is not null")
+        .select("key", "text")
+        .mapInArrow(_all_terms, "key string, term string, start int, end int")
+        .join(terms, "term")
+        .dropDuplicates(["key", "start"])
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("start", "end", "instead")).alias("hits"))
     )
+    joined = keyed.join(hits, "key", "left").select("doc_id", "text", "hits")
+    return joined.mapInArrow(_find(None, schema, whole), schema)
 
-    @F.udf("string")
-    def write(text: str | None, edits: list | None) -> str | None:
-        if text is None or not edits:
-            return text
-        out, at = [], 0
-        for a, b, by in edits:
-            if a >= at:
-                out += [text[at:a], by]
-                at = b
-        return "".join([*out, text[at:]])
-
-    return docs.select("doc_id", "text").join(per_doc, "doc_id", "left").select(
-        "doc_id", write("text", "edits").alias("text")
-    )
+
+def personal_data(docs: DataFrame, few: int = BROADCAST_ROWS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, counts per base kind, base_sha256, spans, n_term,
+    sanitised_sha256.
+
+    Null text counts as empty and has no spans.  Base spans are always kept; a disclosing term
+    adds a span where it does not overlap one.  ``sanitised_sha256`` is the digest of what
+    :func:`sanitised` makes of the text.  Rows with no or the same doc_id are found and
+    rewritten by their own text.  Repeated rows get equal results; other columns are not read.
+    Disclosing terms are broadcast up to ``few`` and a bound of bytes; beyond, the terms of
+    all documents meet them in a join, and the result is the same.  An empty table gives no
+    rows.
+    """
+    return _found(docs, few, _RESULT, whole=False)
+
+
+def sanitised(docs: DataFrame, few: int = BROADCAST_ROWS) -> DataFrame:
+    """doc_id and text of every row: entities and weaker terms as their kind, stronger terms
+    removed.
+
+    Spans that overlap or touch become one (see :func:`rewritten`), so no part of a value is
+    left.  Each text is rewritten by the task that holds it, so rows without an id and rows of
+    one id get their own.  Null text stays null.  An empty table gives no rows.
+    """
+    return _found(docs, few, "doc_id long, text string", whole=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -178,6 +179,92 @@ def test_terms_that_give_an_entity_away(spark):
     assert texts[1] == private_rows()[1][1]
 
 
+def test_terms_reach_rows_without_an_id_and_of_one_id(spark):
+    given = private_rows() + [
+        (None, "a zanzibarian jo@example.org here"),
+        (7, "zanzibarian jo@example.org"),
+        (7, "the other one was zanzibarian: jo@example.org"),
+        (None, None),
+        (7, "zanzibarian jo@example.org"),
+    ]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
+    shown = [sorted(map(str, privacy.personal_data(docs, few).collect())) for few in (1000, 0)]
+    assert shown[0] == shown[1]
+    texts = [sorted(map(str, privacy.sanitised(docs, few).collect())) for few in (1000, 0)]
+    assert texts[0] == texts[1] and len(texts[0]) == len(given)
+    found = {tuple(r) for r in privacy.sanitised(docs).collect()}
+    assert (None, "a  [email] here") in found and (None, None) in found
+    assert (7, " [email]") in found and (7, "the other one was : [email]") in found
+    digests = {r["sanitised_sha256"] for r in privacy.personal_data(docs).collect()}
+    assert digests == {hashlib.sha256((t or "").encode()).hexdigest() for _, t in found}
+
+
+def test_overlapping_values_leave_nothing(spark):
+    given = {
+        "+4915112345678@sms.example.com": "[email]",
+        "1.2.3.4@example.org": "[email]",
+        "mail jo@example.org here": "mail [email] here",
+        "a@b.de+49 151 1234567 x": "[phone] x",  # they touch, and the phone is longer
+        "other ann@example.org text": "other [email] text",
+        "4111 1111 1111 1111 and 1.2.3.4": "[card] and [ip]",
+        "": "",
+    }
+    docs = spark.createDataFrame([(k % 2 or None, t) for k, t in enumerate(given)], "doc_id long, text string")
+    assert sorted(r["text"] for r in privacy.sanitised(docs).collect()) == sorted(given.values())
+    hits = [(4, 9, ""), (10, 15, "[email-related]")]
+    assert privacy.rewritten("see words there!", [], hits) == "see  [email-related]!"
+    assert privacy.rewritten("see words there!", [], [(4, 9, ""), (9, 15, "[ip-related]")]) == "see [ip-related]!"
+
+
+def plain_shares(texts: list[str], contexts: int) -> dict:
+    """Shares of information by their definition, over lists."""
+    said = []
+    for text in texts:
+        spans = privacy.base_spans(text)
+        words = [w for w in privacy._terms(text) if all(w[2] <= a or w[1] >= b for _, a, b in spans)]
+        own = {}
+        for kind, a, b in spans:
+            before = [w[0] for w in words if w[1] < a][-privacy.WINDOW :]
+            after = [w[0] for w in words if w[1] >= a][: privacy.WINDOW]
+            own.setdefault(f"{kind}:{text[a:b]}", []).append((*before, *after))
+        said.append(own)
+    every = [{w[0] for w in privacy._terms(text)} for text in texts]
+    found = {}
+    for entity in {e for own in said for e in own}:
+        holding = [own[entity] for own in said if entity in own]
+        for term in {t for near in holding for context in near for t in context}:
+            around = {c for near in holding for c in near if term in c}
+            if len(around) < contexts or len(holding) == len(texts):
+                continue
+            both = sum(any(term in c for c in near) for near in holding)
+            alone = sum(term in words for words in every)
+            share = math.log(len(texts) * both / (len(holding) * alone)) / math.log(len(texts) / len(holding))
+            if share >= privacy.GENERALISED:
+                kind = entity.split(":")[0]
+                found[term] = max(found.get(term, (0, "")), (round(share, 9), kind))
+    return found
+
+
+def test_shares_of_information_against_their_definition(spark):
+    rng = random.Random(12)
+    values = ["jo@example.org", "1.2.3.4", "+49 151 1234567", "ann@example.org"]
+    texts = []
+    for _ in range(300):
+        words = [f"w{rng.randrange(40)}" for _ in range(rng.randrange(3, 40))]
+        if rng.random() < 0.3:
+            k = rng.randrange(4)
+            at = rng.randrange(len(words))
+            words[at : at + 1] = [f"Odd{k},", values[k]] if rng.random() < 0.95 else [values[k]]
+        if rng.random() < 0.1:
+            words.append("odd1")
+        texts.append(" ".join(words))
+    texts += ["jo@example.org", "", "odd2"]
+    ids = [None if i % 5 == 0 else i % 90 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(4)
+    found = {r["term"]: (round(r["share"], 9), r["kind"]) for r in privacy.disclosing_terms(docs).collect()}
+    assert found == plain_shares(texts, privacy.CONTEXTS) and len(found) >= 2
+
+
 def test_personal_data_of_awkward_rows(spark):
     found = privacy.personal_data(documents(spark)).collect()
     assert len(found) == len(rows()) and privacy.personal_data(nothing(spark)).count() == 0
