@@ -18,7 +18,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 # A narrow key table is broadcast up to this many rows (under 50 MB); beyond, it is shuffled.
 BROADCAST_ROWS = 250_000
 
-_SAME = "doc_id <=> _id and _key = _of"
+_SAME = "own <=> id and key = of"
 
 Made = TypeVar("Made")
 
@@ -40,27 +40,40 @@ def bounded(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= rows else keys
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Every row whole in a struct ``row``, beside working columns.
+
+    So no working column clashes with one of the rows, whatever those are called.
+    """
+    return docs.select(F.struct("*").alias("row"), *(value.alias(name) for name, value in more.items()))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
 def without_ids(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows whose key is not in the stored one-column table ``dropped``; null keys stay."""
-    gone = bounded(dropped.select(F.col(key).alias("_gone")))
-    return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    gone = bounded(dropped.select(F.col(key).alias("gone")))
+    kept = packed(docs, own=F.col(key)).join(gone, F.col("own") == F.col("gone"), "left_anti")
+    return unpacked(kept)
 
 
 def without_pairs(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
-    """Rows whose doc_id (null included) and key are not in the stored ``gone``: _id, _of."""
-    keyed = docs.withColumn("_key", key)
-    return keyed.join(bounded(gone), F.expr(_SAME), "left_anti").select(*docs.columns)
+    """Rows whose doc_id (null included) and key are not in the stored ``gone``: id, of."""
+    keyed = packed(docs, own=F.col("doc_id"), key=key)
+    return unpacked(keyed.join(bounded(gone), F.expr(_SAME), "left_anti"))
 
 
 def without_repeats(docs: DataFrame, repeated: DataFrame, key: Column) -> DataFrame:
-    """One row for each doc_id (null included) and key in the stored ``repeated``: _id, _of."""
+    """One row for each doc_id (null included) and key in the stored ``repeated``: id, of."""
     if repeated.isEmpty():
         return docs
-    keyed, repeated = docs.withColumn("_key", key), bounded(repeated)
+    keyed, repeated = packed(docs, own=F.col("doc_id"), key=key), bounded(repeated)
     lone = keyed.join(repeated, F.expr(_SAME), "left_anti")
     # A shuffle of the repeated rows only; each task sends one row of those alike.
-    first = keyed.join(repeated, F.expr(_SAME), "left_semi").dropDuplicates(["doc_id", "_key"])
-    return lone.unionByName(first).select(*docs.columns)
+    first = keyed.join(repeated, F.expr(_SAME), "left_semi").dropDuplicates(["own", "key"])
+    return unpacked(lone.unionByName(first))
 
 
 def empty_if_null(name: str) -> Column:

@@ -141,17 +141,18 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, with all its columns.
 
     Of rows that repeat the smallest doc_id one stays.  Rows without an id are not dropped for
-    one with an id; of a text's rows without an id one stays.
+    one with an id; of a text's rows without an id one stays.  Other columns may have any
+    name and come back unchanged.  An empty table gives no rows.
     """
     grouped = stored(
         exact_duplicates(docs)
         .where("group_size > 1")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of"), "kept")
+        .groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("of"), "kept")
         .agg(F.count(F.lit(1)).alias("n")),
         "exact-grouped",
     )
-    dropped = stored(grouped.where("not kept and _id is not null").select("_id", "_of"), "exact-dropped")
-    repeated = stored(grouped.where("(kept or _id is null) and n > 1").select("_id", "_of"), "exact-repeats")
+    dropped = stored(grouped.where("not kept and id is not null").select("id", "of"), "exact-dropped")
+    repeated = stored(grouped.where("(kept or id is null) and n > 1").select("id", "of"), "exact-repeats")
     return without_repeats(without_pairs(docs, dropped, text_key()), repeated, text_key())
 
 

@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import bounded, stored, worker_state
+from headway.llm.common import bounded, packed, stored, unpacked, worker_state
 
 UNKNOWN = "und"
 BITS = 15
 # The bound of the sample: so many documents of a language are expected in it, whole texts.
 SAMPLE_PER_LANGUAGE = 1500
+# And so many of all languages together, as one task fits on them.
+SAMPLE_TOTAL = 60_000
 # A fifth of the sample calibrates.
 CALIBRATION = 5
 # Predictions below this probability are rejected by ``confident``.
@@ -169,12 +171,14 @@ def remainder(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
 
 
-def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def learn(
+    docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL
+) -> Model:
     """Fit on documents with a language whose crc32 of the id is not 1 modulo 3.
 
     Document frequencies cover all of them; the regression is fitted on about
-    ``per_language`` documents of each language, chosen by a hash of the id.  Without any
-    such document the model knows no language.
+    ``per_language`` documents of each language, and ``total`` of all, chosen by a hash of the
+    id.  Without any such document the model knows no language.
     """
     known = docs.where((remainder() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = (
@@ -187,10 +191,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     found[list(frequencies)] = list(frequencies.values())
     idf = (np.log((1 + texts) / (1 + found)) + 1).astype(np.float32)
 
-    shares = stored(
-        known.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share")),
-        "lang-shares",
-    )
+    spoken = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "lang-counts")
+    each = min(per_language, total / max(1, spoken.count()))
+    shares = spoken.select("lang", (F.lit(float(each)) / F.col("_n")).alias("_share"))
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     sample = (
         known.select("lang", "text", hashed.alias("_hash"))
@@ -254,9 +257,11 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def confident(docs: DataFrame, least: float = MIN_SCORE) -> DataFrame:
-    """Rows with a recognised language, with all their columns."""
+    """Rows with a recognised language, with all their columns.
+
+    Null text and text without a letter have none and go.  Other columns may have any name
+    and come back unchanged.  An empty table gives no rows.
+    """
     predict = predictor(docs.sparkSession, learn(docs))
-    found = docs.withColumn("_found", predict("text"))
-    return found.where(
-        (F.col("_found.lang") != UNKNOWN) & (F.col("_found.score") >= least)
-    ).select(*docs.columns)
+    found = packed(docs, found=predict("text"))
+    return unpacked(found.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least)))

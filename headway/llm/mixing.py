@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import WORD, empty_if_null, stored
+from headway.llm.common import WORD, empty_if_null, packed, stored, unpacked
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -82,7 +82,8 @@ def solve(sizes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
 
     ``sizes`` has (source key, size, n); ``goals`` has (source key, source_size, target,
     documents).  A step sums the words taken and their derivative per source, with map-side
-    combining, and moves theta; a step that leaves the bracket halves it instead.
+    combining, and moves theta; a step that leaves the bracket halves it instead.  Rates that
+    are not balanced after MAX_STEPS are an error.
     """
     scale = F.col("source_size") / F.col("documents")
     state = goals.where("source_size > 0").select(
@@ -104,9 +105,9 @@ def solve(sizes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
         )
         state = stored(_moved(state.join(sums, _KEY)), f"mix-step-{step}")
         if not state.agg(F.max("off")).first()[0]:
-            break
+            return state.select(*_KEY, "theta", "scale")
         state = state.drop("off")
-    return state.select(*_KEY, "theta", "scale")
+    raise ArithmeticError(f"rates are not balanced after {MAX_STEPS} steps")
 
 
 def _moved(state: DataFrame) -> DataFrame:
@@ -214,30 +215,35 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
     Copies go by doc_id (null included), text and source, so documents without an id get theirs
-    too.  Rows alike in these share the copies given to them all as evenly as can be.
+    too.  Rows alike in these share the copies given to them all as evenly as can be.  Other
+    columns may have any name and come back unchanged.  An empty table gives no rows.
     """
     taken = stored(
         _placed(docs, weights, cap)
         .groupBy(
-            F.col("doc_id").alias("_id"),
-            F.col("text_key").alias("_of"),
-            F.col("no_source").alias("_none"),
-            F.col("source").alias("_from"),
+            F.col("doc_id").alias("id"),
+            F.col("text_key").alias("of"),
+            F.col("no_source").alias("none"),
+            F.col("source").alias("from_source"),
         )
-        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_alike"))
-        .where("_copies > 0"),
+        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("alike"))
+        .where("copies > 0"),
         "mix-taken",
     )
-    same = F.expr(
-        "doc_id <=> _id and _text_key = _of and (source is null) = _none and coalesce(source, '') = _from"
+    same = F.expr("own <=> id and key = of and no_source = none and source = from_source")
+    keyed = packed(
+        docs,
+        own=F.col("doc_id"),
+        key=F.xxhash64("text"),
+        no_source=F.col("source").isNull(),
+        source=empty_if_null("source"),
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    found = keyed.join(taken.where("_alike = 1"), same)
-    alike = taken.where("_alike > 1")
+    found = keyed.join(taken.where("alike = 1"), same).select("row", "copies")
+    alike = taken.where("alike > 1")
     if not alike.isEmpty():
-        key = Window.partitionBy("_id", "_of", "_none", "_from").orderBy(F.lit(0))
-        shared = keyed.join(alike, same).withColumn("_rank", F.row_number().over(key))
-        each = F.expr("_copies div _alike + if(_rank <= _copies % _alike, 1, 0)")
-        found = found.unionByName(shared.withColumn("_copies", each).drop("_rank"))
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return found.where("_copies > 0").withColumn("_copy", times).select(*docs.columns)
+        group = Window.partitionBy("id", "of", "none", "from_source").orderBy(F.lit(0))
+        shared = keyed.join(alike, same).withColumn("rank", F.row_number().over(group))
+        each = F.expr("copies div alike + if(rank <= copies % alike, 1, 0)")
+        found = found.unionByName(shared.select("row", each.alias("copies")))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return unpacked(found.where("copies > 0").select("row", times))

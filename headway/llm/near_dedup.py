@@ -320,13 +320,14 @@ def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each component, with all columns.
 
-    Of rows that repeat one doc_id (or none) and text, white space aside, one stays.
+    Of rows that repeat one doc_id (or none) and text, white space aside, one stays.  Other
+    columns may have any name and come back unchanged.  An empty table gives no rows.
     """
     dropped = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
     left = without_ids(docs, stored(dropped, "near-dropped"))
     again = (
-        left.groupBy(F.col("doc_id").alias("_id"), text_key().alias("_of"))
+        left.groupBy(F.col("doc_id").alias("id"), text_key().alias("of"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    return without_repeats(left, stored(again.select("_id", "_of"), "near-repeats"), text_key())
+    return without_repeats(left, stored(again.select("id", "of"), "near-repeats"), text_key())

@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     # Names that operators use themselves.
-    "fp long, node long, size long, sums string, _norm string, component string, copies long"
+    "fp long, node long, size long, sums string, _norm string, component string, copies long, "
+    "_key string, _id long, _of string, _gone long, _copy long, _text_key long, _copies long, "
+    "_from string, _none boolean, _alike long, _found string, _rank long, row string, own long, "
+    "key string, found string, gone long, alike long, id string, of string"
 )
-EXTRA = (1, 2, 3, "s", "n", "c", 4)
+EXTRA = (
+    1, 2, 3, "s", "n", "c", 4,
+    "k", 5, "o", 6, 7, 8, 9, "f", True, 10, "x", 11, "r", 12, "y", "z", 13, 14, "i", "p",
+)
 LONG = "lorem ipsum dolor " * 6000 + "x" * 5000
 
 
@@ -33,7 +39,7 @@ def rows() -> list[tuple]:
     ]
     found += [(100 + k, text, "en", None if k % 2 else "s1", None, *EXTRA) for k, text in enumerate(odd)]
     found.append((None, base, None, None, None, *EXTRA))
-    found.append((None, None, None, None, None, *[None] * 7))
+    found.append((None, None, None, None, None, *[None] * len(EXTRA)))
     return found + [found[3], found[3]]  # repeated rows
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from headway.llm import fingerprints
-from tests.llm.helpers import SCHEMA, documents, nothing, rows
+from tests.llm.helpers import EXTRA, SCHEMA, documents, nothing, rows
 
 
 def brute(given: list[tuple]) -> list[tuple]:
@@ -49,7 +49,7 @@ def test_against_brute_force(spark, monkeypatch, part_rows):
 
 def test_few_documents(spark):
     assert fingerprints.with_next(nothing(spark)).count() == 0
-    one = spark.createDataFrame([(7, "abcd", *[None] * 10)], SCHEMA)
+    one = spark.createDataFrame([(7, "abcd", None, None, None, *EXTRA)], SCHEMA)
     found = fingerprints.with_next(one).first()
     assert found["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and found["near_next"] == 1
     many = spark.createDataFrame([(7, "abcd")] * 500 + [(None, None)] * 500, "doc_id long, text string")
