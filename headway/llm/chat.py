@@ -52,22 +52,42 @@ def linear(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _doubled(jumps: DataFrame) -> DataFrame:
+    same = F.col("n.conv_id").eqNullSafe(F.col("m.conv_id"))
+    return stored(
+        jumps.alias("n")
+        .join(jumps.alias("m"), same & (F.col("n.over") == F.col("m.node")))
+        .select("n.conv_id", "n.node", "m.over"),
+        "chat-jumps",
+    )
+
+
 def leaf_paths(nodes: DataFrame) -> DataFrame:
     """Every node on the path of every leaf: conv_id, leaf, node, up (0 at the leaf).
 
     Round k knows the nodes less than 2**k above a leaf, and the jumps of 2**k; a join with
-    the jumps doubles both.  A parent that is no node of the conversation makes a root.
+    the jumps doubles both.  A parent that is no node of the conversation makes a root, and so
+    does one that is the node itself.  Where parents form a cycle, each node on the cycle is a
+    root: the jumps that are left after as many rounds as the largest conversation can need
+    end on the cycles' nodes, all of them.
     """
     same = F.col("n.conv_id").eqNullSafe(F.col("m.conv_id"))
     known = nodes.select("conv_id", F.col("node").alias("parent"))
-    jumps = stored(
+    links = stored(
         nodes.where("parent is not null and parent <> node")
         .select("conv_id", "node", "parent")
         .alias("n")
         .join(known.alias("m"), same & (F.col("n.parent") == F.col("m.parent")), "left_semi")
         .select("conv_id", "node", F.col("parent").alias("over")),
-        "chat-jumps",
+        "chat-links",
     )
+    most = nodes.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return _paths(nodes, links, most.bit_length())
+
+
+def _paths(nodes: DataFrame, links: DataFrame, rounds: int) -> DataFrame:
+    same = F.col("n.conv_id").eqNullSafe(F.col("m.conv_id"))
+    jumps = links
     paths = stored(
         nodes.select("conv_id", "node")
         .alias("n")
@@ -75,48 +95,64 @@ def leaf_paths(nodes: DataFrame) -> DataFrame:
         .select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")),
         "chat-paths",
     )
-    step = 1
-    while not jumps.isEmpty():
-        jumped = F.col("n.node") == F.col("m.node")
+    for k in range(rounds):
+        if jumps.isEmpty():
+            return paths
         further = (
             paths.alias("n")
-            .join(jumps.alias("m"), same & jumped)
-            .select("n.conv_id", "n.leaf", F.col("m.over").alias("node"), F.expr(f"n.up + {step}").alias("up"))
+            .join(jumps.alias("m"), same & (F.col("n.node") == F.col("m.node")))
+            .select("n.conv_id", "n.leaf", F.col("m.over").alias("node"), F.expr(f"n.up + {1 << k}").alias("up"))
         )
         paths = stored(paths.unionByName(further), "chat-paths")
-        jumps = stored(
-            jumps.alias("n")
-            .join(jumps.alias("m"), same & (F.col("n.over") == F.col("m.node")))
-            .select("n.conv_id", "n.node", "m.over"),
-            "chat-jumps",
-        )
-        step *= 2
-    return paths
+        jumps = _doubled(jumps)
+    if jumps.isEmpty():
+        return paths
+    rounded = stored(jumps.select("conv_id", F.col("over").alias("node")).distinct(), "chat-cycles")
+    cut = links.alias("n").join(
+        rounded.alias("m"), same & (F.col("n.node") == F.col("m.node")), "left_anti"
+    )
+    return _paths(nodes, stored(cut, "chat-links"), rounds)
+
+
+def chosen_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
+    """The nodes of the best branches: conv_id, leaf, branch, node, up.  No text is read."""
+    same = F.col("n.conv_id").eqNullSafe(F.col("m.conv_id"))
+    paths = leaf_paths(nodes)
+    scores = nodes.select("conv_id", "node", "score").where("score <> 0")
+    scored = paths.alias("n").join(
+        scores.alias("m"), same & (F.col("n.node") == F.col("m.node")), "left"
+    ).select("n.conv_id", "n.leaf", F.coalesce("m.score", F.lit(0.0)).alias("score"))
+    ranked = scored.groupBy("conv_id", "leaf").agg(F.sum("score").alias("total"))
+    best = Window.partitionBy("conv_id").orderBy(F.desc("total"), "leaf")
+    chosen = ranked.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
+    return stored(
+        paths.alias("n")
+        .join(chosen.alias("m"), same & (F.col("n.leaf") == F.col("m.leaf")))
+        .select("n.conv_id", "n.leaf", "branch", "n.node", "n.up"),
+        "chat-chosen",
+    )
 
 
 def formatted(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """The best branches of each conversation: conv_id, leaf, branch, conversation, loss_spans.
 
     ``nodes`` has conv_id, node (unique in its conversation), parent, role, text and score;
-    parents form no cycle.  Branches rank by the sum of their scores (null counts 0), then by
-    the smaller leaf.  Role and text are escaped.  ``loss_spans`` holds start and end of each
-    assistant text in code points, end exclusive.  No nodes give no rows.  The turns of a
-    branch meet in one row, as the result is one text.
+    other columns are not read.  Nodes whose parents form a cycle are roots, as
+    :func:`leaf_paths` says.  Branches rank by the sum of their scores (null counts 0), then
+    by the smaller leaf.  Role and text are escaped.  ``loss_spans`` holds start and end of
+    each assistant text in code points, end exclusive.  No nodes give no rows.
+
+    Nodes are stored once.  Paths are found and ranked on numbers alone, and the texts join
+    the chosen ones.  The turns of a branch meet in one row, as the result is one text.
     """
     same = F.col("n.conv_id").eqNullSafe(F.col("m.conv_id"))
-    steps = leaf_paths(nodes).alias("n").join(
-        nodes.select("conv_id", "node", "role", "text", "score").alias("m"),
-        same & (F.col("n.node") == F.col("m.node")),
+    nodes = stored(nodes.select("conv_id", "node", "parent", "role", "text", "score"), "chat-nodes")
+    steps = nodes.alias("n").join(
+        chosen_paths(nodes, branches).alias("m"), same & (F.col("n.node") == F.col("m.node"))
     )
-    steps = steps.select("n.conv_id", "n.leaf", "n.up", "m.role", "m.text", "m.score")
-    ranked = steps.groupBy("conv_id", "leaf").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("total"))
-    best = Window.partitionBy("conv_id").orderBy(F.desc("total"), "leaf")
-    chosen = ranked.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
-    rendered = steps.alias("n").join(
-        chosen.alias("m"), same & (F.col("n.leaf") == F.col("m.leaf"))
-    ).select(
+    rendered = steps.select(
         "n.conv_id",
-        "n.leaf",
+        "m.leaf",
         "branch",
         (-F.col("up")).alias("at"),
         escaped(empty_if_null("role")).alias("role"),

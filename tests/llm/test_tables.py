@@ -134,6 +134,77 @@ def test_branches_are_ranked(spark):
     assert [tuple(s) for s in found[1, 1]["loss_spans"]] == [(28, 32)]
 
 
+def test_cycles_are_cut(spark):
+    """Members of a cycle are roots; what hangs on them keeps its path to them."""
+    nodes = [
+        (1, 1, 2, "user", "a", 1.0), (1, 2, 1, "assistant", "b", 2.0),  # each other's parent
+        (1, 3, 2, "user", "c", 5.0), (1, 4, 3, "assistant", "d", 0.0), (1, 7, 7, "user", "own", 0.0),
+        (2, 1, 3, "user", "x", 0.0), (2, 2, 1, "user", "y", 0.0), (2, 3, 2, "user", "z", 0.0),
+        (3, 1, None, "user", "q", 0.0),
+    ]
+    frame = spark.createDataFrame(nodes, "conv_id long, node long, parent long, role string, text string, score double")
+    paths = {}
+    for r in chat.leaf_paths(frame).collect():
+        paths.setdefault((r["conv_id"], r["leaf"]), []).append((r["up"], r["node"]))
+    found = {key: [node for _, node in sorted(path)] for key, path in paths.items()}
+    assert found == {(1, 4): [4, 3, 2], (1, 1): [1], (1, 7): [7], (2, 1): [1], (2, 2): [2], (2, 3): [3], (3, 1): [1]}
+    best = {r["conv_id"]: r["conversation"] for r in chat.formatted(frame).collect()}
+    assert best[1] == "<s>[assistant]b</s><s>[user]c</s><s>[assistant]d</s>" and best[2] == "<s>[user]x</s>"
+
+
+def test_many_branches_against_plain_paths(spark):
+    rng = random.Random(6)
+    nodes = []
+    for c in range(6):
+        for node in range(1, 120):
+            parent = None if node == 1 else rng.choice([max(1, node - 1), rng.randrange(1, node)])
+            nodes.append((c, node, parent, rng.choice(["user", "assistant"]), f"t{node}", rng.randrange(9) / 4))
+    frame = spark.createDataFrame(nodes, "conv_id long, node long, parent long, role string, text string, score double")
+    found = {(r["conv_id"], r["branch"]): r for r in chat.formatted(frame, branches=3).collect()}
+    known = {(c, n): (p, r, t, s) for c, n, p, r, t, s in nodes}
+    for c in range(6):
+        parents = {p for k, n, p, *_ in nodes if k == c}
+        ranked = []
+        for leaf in {n for k, n, *_ in nodes if k == c} - parents:
+            path, at = [], leaf
+            while at is not None:
+                path.append(at)
+                at = known[c, at][0]
+            ranked.append((-sum(known[c, n][3] for n in path), leaf, path[::-1]))
+        for branch, (_, leaf, path) in enumerate(sorted(ranked)[:3], 1):
+            assert found[c, branch]["leaf"] == leaf
+            assert found[c, branch]["conversation"] == "".join(f"<s>[{known[c, n][1]}]{known[c, n][2]}</s>" for n in path)
+
+
+def test_texts_join_the_chosen_paths_only(spark, monkeypatch):
+    """Nothing before the last join reads a text, so none crosses an exchange unranked."""
+    seen = []
+    store = chat.stored
+    monkeypatch.setattr(chat, "stored", lambda df, label: seen.append((label, df.columns)) or store(df, label))
+    rows = [(1, k, k - 1 or None, "user", "t", 0.0) for k in range(1, 9)]
+    frame = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string, score double")
+    plan = chat.formatted(frame)
+    assert [label for label, columns in seen if "text" in columns] == ["chat-nodes"]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_stages_return_rows_as_they_were(spark):
+    """Whatever the columns are called that operators do not know."""
+    given = set(documents(spark).collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, documents(spark), "").collect()
+        assert kept and set(kept) <= given, name
+        assert stage(spark, nothing(spark), "").collect() == [], name
+
+
+def test_rates_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    docs = spark.createDataFrame(mixed_rows(300), "doc_id long, text string, source string")
+    with pytest.raises(ArithmeticError):
+        mixing.mixed(docs).count()
+
+
 def test_escapes_are_reversible(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choice("\\<>[]slbe/é\n") for _ in range(rng.randrange(12))) for _ in range(300)]
