@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     links = _confirmed(tried, sketches, texts, "near-first")
     joined = stored(components(links), "near-first-components")
-    links = links.unionByName(_across(crowded, joined, texts))
+    links = links.unionByName(_across(crowded, joined, sketches, texts))
     joined = stored(components(links), "near-components")
 
     found = members.select("doc_id", "n_shingles", "node").join(joined, "node", "left")
@@ -233,11 +233,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(crowded: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(crowded: DataFrame, joined: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of nodes that share a bucket and lie in different components so far.
 
-    The members of such a bucket are compared in blocks, and only links leave a task.  A
-    bucket of many members is dealt over block pairs.
+    The members of such a bucket are compared in blocks, a bucket of many members dealt over
+    block pairs.  Signatures are dealt first and say which nodes have a pair that may be a
+    link; the sets of these alone are dealt again, and only links leave a task.
     """
     placed = crowded.select("bucket", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
@@ -253,11 +254,10 @@ def _across(crowded: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFram
         .select("bucket", "blocks")
     )
     rest = stored(placed.join(mixed, "bucket"), "near-mixed")
-    wanted = stored(rest.select(F.col("node").alias("doc_id")).distinct(), "near-mixed-wanted")
-    sets = _sets_of(texts, wanted, "near-mixed-sets")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = (
-        rest.withColumn("_own", F.expr("pmod(xxhash64(node), blocks)"))
+        rest.join(sketches, "node")
+        .withColumn("_own", F.expr("pmod(xxhash64(node), blocks)"))
         .withColumn("_other", other)
         .select(
             "bucket",
@@ -266,41 +266,65 @@ def _across(crowded: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFram
             F.col("_own").alias("own"),
             "node",
             "component",
+            "signature",
         )
     )
+    promising = stored(
+        dealt.groupBy("bucket", "one", "two").applyInArrow(
+            _promising, "bucket long, one long, two long, own long, node long, component long, signature binary"
+        ),
+        "near-promising",
+    )
+    wanted = stored(promising.select(F.col("node").alias("doc_id")).distinct(), "near-mixed-wanted")
+    sets = _sets_of(texts, wanted, "near-mixed-sets")
     found = (
-        dealt.join(sets, "node").groupBy("bucket", "one", "two").applyInArrow(_block, "a long, b long")
+        promising.join(sets, "node").groupBy("bucket", "one", "two").applyInArrow(_block, "a long, b long")
     )
     return stored(found.distinct(), "near-rest-links")
 
 
-def _block(group: pa.Table) -> pa.Table:
-    """Links across components within a block, or between the two blocks, of a bucket.
+def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Pairs across components, within a block or between the two, whose signatures allow a link.
 
     A pair belongs to the first band in which it agrees, so it is verified in one bucket.
     """
-    a, b = _coefficients()
-    nodes = group.column("node").to_numpy()
+    nodes = group.num_rows
     places = group.column("component").to_numpy()
     own = group.column("own").to_numpy()
     between = group.column("one")[0].as_py() != group.column("two")[0].as_py()
-    sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("shingles")]
-    sizes = np.array([len(x) for x in sets])
-    minima = np.stack([signature(x, a, b) for x in sets])
-    bands = minima.reshape(len(nodes), BANDS, ROWS)
+    minima = np.stack([np.frombuffer(x.as_py(), np.uint32) for x in group.column("signature")])
+    bands = minima.reshape(nodes, BANDS, ROWS)
     band = int((bands == bands[:1]).all(axis=(0, 2)).argmax())
     least = (PERCENT / 100 - MARGIN) * BANDS * ROWS
-    links = []
-    for i in range(len(nodes) - 1):
-        later = np.arange(i + 1, len(nodes))
+    for i in range(nodes - 1):
+        later = np.arange(i + 1, nodes)
         later = later[places[later] != places[i]]
         if between:
             later = later[own[later] != own[i]]
         common = (minima[later] == minima[i]).sum(axis=1)
         later = later[common >= least]
         later = later[(bands[later] == bands[i]).all(axis=2).argmax(axis=1) == band]
-        if not len(later):
-            continue
+        if len(later):
+            yield i, later
+
+
+def _promising(group: pa.Table) -> pa.Table:
+    """The rows of a block pair that are part of any candidate."""
+    kept = np.zeros(group.num_rows, bool)
+    for i, later in _candidates(group):
+        kept[i] = True
+        kept[later] = True
+    columns = ["bucket", "one", "two", "own", "node", "component", "signature"]
+    return group.select(columns).filter(pa.array(kept))
+
+
+def _block(group: pa.Table) -> pa.Table:
+    """Links among the candidates of a block pair, on full sets."""
+    nodes = group.column("node").to_numpy()
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("shingles")]
+    sizes = np.array([len(x) for x in sets])
+    links = []
+    for i, later in _candidates(group):
         shared = _common(sets[i], [sets[k] for k in later])
         hit = later[100 * shared >= PERCENT * (sizes[later] + sizes[i] - shared)]
         links.extend((nodes[i], nodes[k]) for k in hit)
