@@ -1,0 +1,170 @@
+"""The classifier against plain versions of its parts, on toy tables."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from headway.llm import langid
+
+SIZE = 1 << langid.BITS
+_ALL = (1 << 64) - 1
+
+
+def plain_grams(text: str) -> Counter:
+    """Grams of letters, a run of anything else being one boundary, by bucket."""
+    marks = [0]
+    for c in text.lower():
+        if c.isalpha():
+            marks.append(ord(c))
+        elif marks[-1]:
+            marks.append(0)
+    if marks[-1]:
+        marks.append(0)
+    if not any(marks):
+        return Counter()
+    found = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(marks) - n + 1):
+            gram = marks[i : i + n]
+            if n == 1 and not gram[0]:
+                continue
+            x = 0
+            for code in gram:
+                x = (x * 0x100000001B3 + code) & _ALL
+            x = ((x + (n << 50)) * 0x9E3779B97F4A7C15) & _ALL
+            x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & _ALL
+            found[x >> (64 - langid.BITS)] += 1
+    return found
+
+
+def plain_features(counts: Counter, idf: dict) -> dict:
+    values = {b: math.log1p(n) * idf[b] for b, n in counts.items()}
+    norm = math.sqrt(sum(v * v for v in values.values()))
+    return {b: v / norm for b, v in values.items()}
+
+
+def texts(n: int = 40) -> list[tuple]:
+    rng = random.Random(1)
+    words = {"en": ["the", "this", "with", "that", "house"], "fr": ["été", "une", "où", "avec", "maison"]}
+    found = []
+    for i in range(n):
+        lang = "fr" if i % 2 else "en"
+        said = " ".join(rng.choice(words[lang] + ["12", "ok,"]) for _ in range(rng.randrange(2, 9)))
+        found.append((i, said.title() if i % 3 else said, lang))
+    return found
+
+
+def test_grams():
+    for _, text, _ in texts() + [(0, "", ""), (0, "!! 12", ""), (0, "a", ""), (0, "İßǅ ½x", "")]:
+        found = langid.gram_counts(text)
+        assert {k: int(found[k]) for k in np.flatnonzero(found)} == dict(plain_grams(text))
+
+
+def test_learning_against_plain_steps(spark):
+    """Document frequencies over all, weights by FTRL with elastic net, least log-loss."""
+    given = texts()
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string").repartition(3)
+    model = langid.learn(docs, per_language=10**6, total=10**7)
+    learning = [row for row in given if zlib.crc32(str(row[0]).encode()) % 3 != 1]
+    seen = Counter(b for _, text, _ in learning for b in plain_grams(text))
+    idf = {b: math.log((1 + len(learning)) / (1 + seen[b])) + 1 for b in range(SIZE)}
+    assert model.languages == ["en", "fr"]
+    assert np.allclose(model.idf, [idf[b] for b in range(SIZE)], rtol=1e-5)
+
+    from pyspark.sql import functions as F
+
+    hashed = dict(docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).collect())
+    rows = sorted((hashed[i], lang, plain_features(plain_grams(text), idf)) for i, text, lang in learning)
+    fit = [row for row in rows if row[0] % langid.CALIBRATION]
+    aside = [row for row in rows if not row[0] % langid.CALIBRATION]
+    z = [Counter() for _ in "ab"]
+    n = [Counter() for _ in "ab"]
+
+    def weight(k, b):
+        if abs(z[k][b]) <= langid.L1:
+            return 0.0
+        shrunk = z[k][b] - math.copysign(langid.L1, z[k][b])
+        return -shrunk / ((langid.BETA + math.sqrt(n[k][b])) / langid.ALPHA + langid.L2)
+
+    def chances(x):
+        scores = [sum(weight(k, b) * v for b, v in x.items()) for k in range(2)]
+        raised = [math.exp(s - max(scores)) for s in scores]
+        return [r / sum(raised) for r in raised]
+
+    order = np.random.Generator(np.random.PCG64(7))
+    for _ in range(langid.EPOCHS):
+        for at in order.permutation(len(fit)):
+            _, lang, x = fit[at]
+            x = {**x, "bias": 1.0}
+            p = chances(x)
+            old = {(k, b): weight(k, b) for k in range(2) for b in x}
+            for k in range(2):
+                error = p[k] - (model.languages[k] == lang)
+                for b, v in x.items():
+                    g = error * v
+                    sigma = (math.sqrt(n[k][b] + g * g) - math.sqrt(n[k][b])) / langid.ALPHA
+                    z[k][b] += g - sigma * old[k, b]
+                    n[k][b] += g * g
+    for k in range(2):
+        plain = np.zeros(SIZE)
+        for b in z[k]:
+            if b != "bias":
+                plain[b] = weight(k, b)
+        assert np.allclose(model.weights[k], plain, atol=1e-3)
+        assert model.biases[k] == pytest.approx(weight(k, "bias"), abs=1e-3)
+
+    def loss(t):
+        total = 0
+        for _, lang, x in aside:
+            scores = [sum(weight(k, b) * v for b, v in x.items()) + weight(k, "bias") for k in range(2)]
+            top = max(s / t for s in scores)
+            whole = sum(math.exp(s / t - top) for s in scores)
+            total -= scores[model.languages.index(lang)] / t - top - math.log(whole)
+        return total
+
+    assert aside and all(loss(model.temperature) <= loss(model.temperature * f) + 1e-6 for f in (0.8, 0.95, 1.05, 1.25))
+
+
+def test_predictions_follow_from_the_model(spark):
+    given = texts()
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    idf = dict(enumerate(model.idf.tolist()))
+    for r in langid.identify(docs, model).collect():
+        x = plain_features(plain_grams(given[r["doc_id"]][1]), idf)
+        scores = [sum(float(w[b]) * v for b, v in x.items()) + float(c) for w, c in zip(model.weights, model.biases)]
+        raised = [math.exp(s / model.temperature) for s in scores]
+        best = max(range(2), key=lambda k: raised[k])
+        assert r["lang_pred"] == model.languages[best]
+        assert r["score"] == pytest.approx(raised[best] / sum(raised), abs=1e-4)
+
+
+def test_the_sample_is_bounded_in_all(spark):
+    """Many languages share the bound; each still has about its part."""
+    rows = [(i, f"wort{i % 50}", f"l{i % 50}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    fit = langid._fit
+
+    def counted(idf):
+        def run(batches):
+            kept = list(batches)
+            raise RuntimeError(f"rows {sum(b.num_rows for b in kept)}")
+
+        return run
+
+    langid._fit = counted
+    try:
+        langid.learn(docs, per_language=1500, total=500)
+    except Exception as problem:
+        seen.append(int(re.search(r"rows (\d+)", str(problem))[1]))
+    finally:
+        langid._fit = fit
+    assert 350 < seen[0] < 650
