@@ -1,10 +1,11 @@
 """Token counts that follow edits.
 
 A text is split into pre-tokens, which a byte-level BPE encodes on their own.  Each document
-keeps a segment tree over blocks of pre-tokens: a leaf holds the characters and tokens of its
-block, every node above the sum of its children.  An edit re-encodes the blocks it touches
-and some characters of context, until the new pre-tokens meet an old block boundary again;
-then only the sums above the changed leaves are updated.
+keeps a segment tree over blocks of pre-tokens: a leaf holds the characters, pre-tokens and
+tokens of its block, every node above the sums of its children.  An edit descends to the leaf
+of its place by the characters, re-encodes the blocks it touches and some characters of
+context, until the new pre-tokens meet an old block boundary again; then only the sums above
+the changed leaves are updated.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import base64
 import gc
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -31,9 +31,10 @@ LEAF = 32
 # A pre-token is settled by itself and at most so many characters behind it, so an edit can
 # change the pre-tokens that end this close in front of it.
 CONTEXT = 3
-KEPT_PRETOKENS = 300_000
+# Pre-tokens a worker keeps, and the longest kept.
+KEPT_PRETOKENS, KEPT_CHARS = 300_000, 64
 
-TREE = "leaf_chars array<int>, leaf_pretokens array<int>, sums array<long>"
+TREE = "node_chars array<long>, node_pretokens array<long>, sums array<long>"
 EDITS = "array<struct<start: int, end: int, text: string>>"
 
 
@@ -58,17 +59,27 @@ class Counter:
         kept = self.kept
         if len(kept) > KEPT_PRETOKENS:
             kept.clear()
+        counts = []
         for pretoken in pretokens:
-            if pretoken not in kept:
-                kept[pretoken] = len(self.encode(pretoken))
-        return list(map(kept.__getitem__, pretokens))
+            count = kept.get(pretoken)
+            if count is None:
+                count = len(self.encode(pretoken))
+                if len(pretoken) <= KEPT_CHARS:
+                    kept[pretoken] = count
+            counts.append(count)
+        return counts
 
 
 class Tree:
-    """Segment tree of one text; ``sums[1]`` is the whole, leaves are the second half."""
+    """Segment tree of one text, as three arrays: characters, pre-tokens and tokens.
+
+    Node 1 is the whole, the children of node k are 2 k and 2 k + 1, and the second half of
+    each array are the leaves, from left to right.
+    """
 
     def __init__(self, chars: list[int], pretokens: list[int], sums: list[int]) -> None:
         self.chars, self.pretokens, self.sums = chars, pretokens, sums
+        self.visited = 0
 
     @classmethod
     def build(cls, text: str, counter: Counter) -> Tree:
@@ -76,13 +87,37 @@ class Tree:
         tokens = counter.tokens(pretokens)
         starts = range(0, max(len(pretokens), 1), LEAF)
         size = 1 << (len(starts) - 1).bit_length()
-        sums = [0] * (2 * size)
+        tree = cls(*([0] * (2 * size) for _ in range(3)))
         for k, start in enumerate(starts):
-            sums[size + k] = sum(tokens[start : start + LEAF])
-        for k in range(size - 1, 0, -1):
-            sums[k] = sums[2 * k] + sums[2 * k + 1]
-        blocks = [pretokens[start : start + LEAF] for start in starts]
-        return cls([sum(map(len, b)) for b in blocks], [len(b) for b in blocks], sums)
+            block = slice(start, start + LEAF)
+            tree._set(size + k, pretokens[block], tokens[block])
+        tree._sum(size, 2 * size - 1)
+        return tree
+
+    def _set(self, leaf: int, pretokens: list[str], tokens: list[int]) -> None:
+        self.chars[leaf] = sum(map(len, pretokens))
+        self.pretokens[leaf] = len(pretokens)
+        self.sums[leaf] = sum(tokens)
+
+    def _sum(self, low: int, high: int) -> None:
+        """The sums of all nodes above some neighbouring leaves."""
+        while low > 1:
+            low, high = low // 2, high // 2
+            self.visited += high - low + 1
+            for values in (self.chars, self.pretokens, self.sums):
+                for k in range(low, high + 1):
+                    values[k] = values[2 * k] + values[2 * k + 1]
+
+    def _leaf(self, place: int) -> tuple[int, int]:
+        """The leaf that holds a character, found from the root, and where the leaf begins."""
+        node, at, size = 1, 0, len(self.sums) // 2
+        while node < size:
+            self.visited += 1
+            node *= 2
+            if at + self.chars[node] <= place and self.chars[node + 1]:
+                at += self.chars[node]
+                node += 1
+        return node, at
 
     @property
     def total(self) -> int:
@@ -91,42 +126,46 @@ class Tree:
     def edit(
         self, text: str, start: int, end: int, instead: str, counter: Counter
     ) -> tuple[Tree, str, int]:
-        """The tree and text after text[start:end] is replaced, and pre-tokens encoded anew."""
+        """The tree and text after text[start:end] is replaced, and pre-tokens encoded anew.
+
+        The tree is changed in place, or built anew where the edit outgrows its leaves.
+        """
         start = min(max(start, 0), len(text))
         end = min(max(end, start), len(text))
         edited = text[:start] + instead + text[end:]
-        bounds = np.cumsum([0, *self.chars]).tolist()  # of the old leaves
-        first = 0
-        while first + 1 < len(self.chars) and bounds[first + 1] <= start - CONTEXT:
-            first += 1
+        size = len(self.sums) // 2
+        first, at = self._leaf(max(0, start - CONTEXT))
+        # The leaf behind the last one changed, and where it began before the edit.
+        last, bound = first + 1, at + self.chars[first]
         shift = len(instead) - (end - start)
-        old_ends = {bound + shift: k for k, bound in enumerate(bounds) if k > first and bound >= end}
-        found, last, at = [], len(self.chars), bounds[first]
+        found, met = [], False
         for match in counter.split.finditer(edited, at):
             found.append(match[0])
-            if match.end() in old_ends and match.end() >= start + len(instead):
-                last = old_ends[match.end()]
+            after = match.end()
+            if after < start + len(instead):
+                continue
+            while last < 2 * size and (bound < end or bound + shift < after):
+                bound += self.chars[last]
+                last += 1
+                self.visited += 1
+            if bound >= end and bound + shift == after:
+                met = True
                 break
-        tokens = counter.tokens(found)
+        if not met:
+            last = 2 * size
         leaves = last - first
         if not edited or len(found) > 4 * LEAF * leaves:
             rebuilt = Tree.build(edited, counter)
-            return rebuilt, edited, sum(rebuilt.pretokens)
+            return rebuilt, edited, rebuilt.pretokens[1]
+        tokens = counter.tokens(found)
         # The changed leaves share the new pre-tokens evenly; some may become empty.
         each = -(-len(found) // leaves)
-        size = len(self.sums) // 2
-        chars, pretokens, sums = list(self.chars), list(self.pretokens), list(self.sums)
         for k in range(leaves):
             block = slice(k * each, (k + 1) * each)
-            chars[first + k] = sum(map(len, found[block]))
-            pretokens[first + k] = len(found[block])
-            sums[size + first + k] = sum(tokens[block])
-        low, high = size + first, size + last - 1
-        while low > 1:
-            low, high = low // 2, high // 2
-            for k in range(low, high + 1):
-                sums[k] = sums[2 * k] + sums[2 * k + 1]
-        return Tree(chars, pretokens, sums), edited, len(found)
+            self._set(first + k, found[block], tokens[block])
+        self.visited += leaves
+        self._sum(first, last - 1)
+        return self, edited, len(found)
 
 
 def _counter(ranks, pattern: str) -> Counter:
@@ -156,9 +195,10 @@ def with_trees(docs: DataFrame, ranks: dict[bytes, int], pattern: str = PATTERN)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *batch.columns,
-                        pa.array([t.chars for t in trees], pa.list_(pa.int32())),
-                        pa.array([t.pretokens for t in trees], pa.list_(pa.int32())),
-                        pa.array([t.sums for t in trees], pa.list_(pa.int64())),
+                        *(
+                            pa.array([getattr(t, name) for t in trees], pa.list_(pa.int64()))
+                            for name in ("chars", "pretokens", "sums")
+                        ),
                     ],
                     names=[*batch.schema.names, *names],
                 )
@@ -183,7 +223,7 @@ def edited(state: DataFrame, ranks: dict[bytes, int], pattern: str = PATTERN) ->
     nothing.  A null text is edited as an empty one.
     """
     shared = state.sparkSession.sparkContext.broadcast(ranks)
-    columns = state.select("doc_id", "text", "leaf_chars", "leaf_pretokens", "sums", "edits")
+    columns = state.select("doc_id", "text", "node_chars", "node_pretokens", "sums", "edits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(shared, pattern)
@@ -206,7 +246,7 @@ _EDITED = (
 def _edited(batch: pa.RecordBatch, counter: Counter) -> pa.RecordBatch:
     rows = []
     for _, text, chars, pretokens, sums, edits in zip(*(c.to_pylist() for c in batch.columns)):
-        tree, text, work = Tree(chars, pretokens, sums), text or "", 0
+        tree, text, work, before = Tree(chars, pretokens, sums), text or "", 0, sums[1]
         for edit in edits or ():
             if edit is not None:
                 tree, text, encoded = tree.edit(
@@ -214,12 +254,11 @@ def _edited(batch: pa.RecordBatch, counter: Counter) -> pa.RecordBatch:
                 )
                 work += encoded
         rows.append(
-            (text, tree.chars, tree.pretokens, tree.sums, sums[1], tree.total, sum(tree.pretokens), work)
+            (text, tree.chars, tree.pretokens, tree.sums, before, tree.total, tree.pretokens[1], work)
         )
-    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kinds = [pa.string(), ints, ints, longs, *[pa.int64()] * 4]
+    kinds = [pa.string(), *[pa.list_(pa.int64())] * 3, *[pa.int64()] * 4]
     arrays = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
-    names = "doc_id text leaf_chars leaf_pretokens sums n_before n_tokens n_pretokens n_reencoded"
+    names = "doc_id text node_chars node_pretokens sums n_before n_tokens n_pretokens n_reencoded"
     return pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names.split())
 
 

@@ -316,7 +316,10 @@ def test_token_counts_follow_edits():
             at = rng.randint(0, len(text) + 2)
             instead = "".join(rng.choice(bits) for _ in range(rng.choice([0, 1, 2, 10, 300])))
             tree, text, _ = tree.edit(text, at, at + rng.choice([0, 0, 1, 2, 5, 100]), instead, counter)
-            assert tree.total == len(counter.encode(text)) and sum(tree.chars) == len(text)
+            assert tree.total == len(counter.encode(text)) and tree.chars[1] == len(text)
+            assert tree.pretokens[1] == len(counter.split.findall(text))
+            for values in (tree.chars, tree.pretokens, tree.sums):
+                assert all(values[k] == values[2 * k] + values[2 * k + 1] for k in range(1, len(values) // 2))
 
 
 def test_an_edit_encodes_its_surroundings_only():
@@ -326,6 +329,20 @@ def test_an_edit_encodes_its_surroundings_only():
     assert encoded < 4 * token_counts.LEAF and after.total == len(counter.encode(text))
 
 
+def test_an_edit_visits_few_nodes():
+    """As many more as the depth grows by, wherever the edit is."""
+    counter = token_counts.Counter(token_counts.load())
+    for words, depth in ((2_000, 6), (64_000, 11), (256_000, 13)):
+        text = "word and another " * (words // 3)
+        tree = token_counts.Tree.build(text, counter)
+        assert len(tree.sums) // 2 == 1 << depth
+        for share in (0, 0.1, 0.5, 0.99, 1):
+            at, tree.visited = int(share * len(text)), 0
+            tree, text, encoded = tree.edit(text, at, at + 3, "new", counter)
+            assert tree.visited <= 3 * depth + 8 and encoded <= 3 * token_counts.LEAF
+        assert tree.total == len(counter.encode(text))
+
+
 def test_token_counts_of_awkward_rows(spark):
     ranks = token_counts.load()
     counter = token_counts.Counter(ranks)
