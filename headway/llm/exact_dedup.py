@@ -2,7 +2,7 @@
 
 Each partition turns the 64-bit fingerprints of its texts into a counting quotient
 filter: the leading bits are the quotient, and every quotient holds a run of sorted
-remainders with their counts.  Runs of one quotient merge losslessly by their sorted
+remainders, in as few bytes as they need, with their counts where these are above one.  Runs of one quotient merge losslessly by their sorted
 remainders.  Only texts whose fingerprint counts more than one are compared byte by byte.
 """
 
@@ -52,7 +52,43 @@ def repeated_fingerprints(fingerprints: DataFrame, bits: int) -> DataFrame:
     return runs.groupBy("quotient").applyInArrow(_merged_run(bits), "fp long, n long")
 
 
+def remainder_bytes(bits: int) -> int:
+    """Bytes of a stored remainder: what the quotient leaves of 64 bits, rounded up."""
+    return -(-(64 - bits) // 8)
+
+
+def _packed_run(remainders: np.ndarray, width: int) -> bytes:
+    """Sorted remainders, ``width`` bytes each."""
+    return remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _read_run(run: bytes, width: int) -> np.ndarray:
+    found = np.frombuffer(run, np.uint8).reshape(-1, width)
+    return np.pad(found, ((0, 0), (0, 8 - width))).view("<u8").ravel().astype(np.uint64)
+
+
+# A count above one: the place of its remainder in the run, and the count.
+_COUNT = np.dtype([("at", "<u4"), ("n", "<u8")])
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts of a run, those of one implied."""
+    at = np.flatnonzero(counts > 1)
+    found = np.empty(len(at), _COUNT)
+    found["at"], found["n"] = at, counts[at]
+    return found.tobytes()
+
+
+def _read_counts(run: bytes, size: int) -> np.ndarray:
+    counts = np.ones(size, np.uint64)
+    told = np.frombuffer(run, _COUNT)
+    counts[told["at"]] = told["n"]
+    return counts
+
+
 def _partition_filters(bits: int) -> Callable:
+    width = remainder_bytes(bits)
+
     def runs(values: np.ndarray) -> pa.RecordBatch:
         found, counts = np.unique(values, return_counts=True)
         quotients = found >> np.uint64(64 - bits)
@@ -62,8 +98,8 @@ def _partition_filters(bits: int) -> Callable:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(quotients[starts].astype(np.int64)),
-                pa.array([remainders[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                pa.array([_packed_run(remainders[a:b], width) for a, b in zip(starts, ends)], pa.binary()),
+                pa.array([_packed_counts(counts[a:b]) for a, b in zip(starts, ends)], pa.binary()),
             ],
             names=["quotient", "remainders", "counts"],
         )
@@ -82,20 +118,26 @@ def _partition_filters(bits: int) -> Callable:
     return build
 
 
-def _merged_run(bits: int) -> Callable[[pa.Table], pa.Table]:
+def _merged_run(bits: int) -> Callable:
+    """The sorted runs of one quotient become one; counts of equal remainders add up."""
+    width = remainder_bytes(bits)
+
     def merge(group: pa.Table) -> pa.Table:
+        runs = [_read_run(run.as_py(), width) for run in group.column("remainders")]
+        told = [
+            _read_counts(run.as_py(), len(own)) for run, own in zip(group.column("counts"), runs)
+        ]
+        values, counts = np.concatenate(runs), np.concatenate(told)
+        order = values.argsort(kind="stable")  # which merges what is sorted in runs
+        values, counts = values[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+        sums = np.add.reduceat(counts, starts)
+        repeated = sums > 1
         quotient = np.uint64(group.column("quotient")[0].as_py())
-        remainders = np.concatenate(
-            [np.frombuffer(x.as_py(), np.uint64) for x in group.column("remainders")]
+        found = (quotient << np.uint64(64 - bits)) | values[starts][repeated]
+        return pa.table(
+            {"fp": pa.array(found.view(np.int64)), "n": pa.array(sums[repeated].astype(np.int64))}
         )
-        counts = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in group.column("counts")])
-        order = np.argsort(remainders, kind="stable")  # sorted runs, so this merges them
-        remainders, counts = remainders[order], counts[order]
-        starts = np.flatnonzero(np.r_[True, remainders[1:] != remainders[:-1]])
-        totals = np.add.reduceat(counts, starts)
-        more = totals > 1
-        found = (quotient << np.uint64(64 - bits)) | remainders[starts][more]
-        return pa.table({"fp": found.astype(np.int64), "n": totals[more].astype(np.int64)})
 
     return merge
 

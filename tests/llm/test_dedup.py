@@ -71,6 +71,18 @@ def test_quotient_filters_count_like_a_hash_table(spark):
         assert {tuple(r) for r in found} == {(v, values.count(v)) for v in values if values.count(v) > 1}
 
 
+def test_a_filter_is_smaller_than_its_fingerprints(spark):
+    rng = np.random.default_rng(3)
+    values = rng.integers(-(2**63), 2**63, 200_000)
+    values[:1000] = values[1000:2000]
+    frame = spark.createDataFrame([(int(v),) for v in values], "fp long").repartition(3)
+    for bits, bytes_each in ((8, 7), (16, 6), (24, 5)):
+        assert exact_dedup.remainder_bytes(bits) == bytes_each
+        runs = frame.mapInArrow(exact_dedup._partition_filters(bits), exact_dedup._RUNS)
+        size = runs.selectExpr("sum(length(remainders) + length(counts)) s").first()["s"]
+        assert size < 1.05 * bytes_each * len(values)
+
+
 def test_near_duplicates_against_brute_force(spark):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(400)]
