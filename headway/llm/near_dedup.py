@@ -33,6 +33,9 @@ MARGIN = 0.22
 # Members of a bucket that one task compares with each other, or with as many others.
 BLOCK = 1000
 
+# Pairs of one node that meet one copy of its value.
+SPLIT = 500
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.uint64(0xD6E8FEB86659FD93)
 _CHUNK = 2048
@@ -143,10 +146,24 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) with the value of either node; the pairs lead, so hot nodes can be split."""
+    """Pairs (a, b) with the value of either node.
+
+    Many nodes pair with the first of their bucket, so a hot ``b`` is dealt over as many
+    copies of its value as it has SPLIT pairs.
+    """
+    hot = stored(
+        pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("_deal")).where("_deal > 1"),
+        "near-hot",
+    )
+    hot = bounded(hot)  # one row for SPLIT pairs
+    dealt = pairs.join(hot, "b", "left").select(
+        "a", "b", F.coalesce(F.expr("pmod(xxhash64(a), _deal)"), F.lit(0)).alias("_at")
+    )
     first = values.select(F.col("node").alias("a"), F.col(name).alias("_a"))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_deal", F.lit(1)) - 1))
     second = values.select(F.col("node").alias("b"), F.col(name).alias("_b"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "_a", "_b")
+    second = second.join(hot, "b", "left").select("b", "_b", copies.alias("_at"))
+    return dealt.join(first, "a").join(second, ["b", "_at"]).select("a", "b", "_a", "_b")
 
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, label: str) -> DataFrame:

@@ -105,6 +105,7 @@ def test_near_duplicates_against_brute_force(spark):
 
 def test_crowded_buckets_are_dealt_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "SPLIT", 4)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(60)]
     texts = {}
