@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,15 @@ def empty_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system, as it lives on for other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def worker_state(name: str, make: Callable[[], Made]) -> Made:
     """An object kept for the life of a Python worker, across tasks."""
     kept = sys.__dict__.setdefault("_headway_llm", {})

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import bounded, packed, stored, unpacked, worker_state
+from headway.llm.common import bounded, give_back, packed, stored, unpacked, worker_state
 
 UNKNOWN = "und"
 BITS = 15
@@ -96,6 +96,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         [pa.array(np.r_[-1, at], pa.int64()), pa.array(np.r_[texts, found[at]], pa.int64())],
         names=["bucket", "n"],
     )
+    give_back()
 
 
 def _fit(idf: np.ndarray) -> Callable:
@@ -105,7 +106,8 @@ def _fit(idf: np.ndarray) -> Callable:
             for lang, text, hashed in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 counts = gram_counts(text)
                 if counts.any():
-                    rows.append((hashed, lang, *_features(counts, idf)))
+                    at, x = _features(counts, idf)
+                    rows.append((hashed, lang, at.astype(np.int32), x.astype(np.float32)))
         rows.sort(key=lambda row: row[:2])
         languages = sorted({row[1] for row in rows})
         if not languages:
@@ -124,6 +126,8 @@ def _fit(idf: np.ndarray) -> Callable:
             ],
             names=["lang", "weights", "bias", "temperature"],
         )
+        del rows, scores
+        give_back()
 
     return fit
 

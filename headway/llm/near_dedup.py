@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import bounded, stored, without_ids, without_repeats
+from headway.llm.common import bounded, give_back, stored, without_ids, without_repeats
 from headway.llm.components import components
 from headway.llm.exact_dedup import text_key
 
@@ -96,6 +96,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             names=["doc_id", "n_shingles", "high", "low", "signature"],
         )
+    give_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +105,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"]
         )
+    give_back()
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
