@@ -6,6 +6,9 @@ held back.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,15 +135,24 @@ def ingest_snapshots(
         once = written("raw").join(first, ["digest", "path"], "left_semi")
         write(decode(once.select("digest", "content", *DAY)), "decoded")
         write(_snapshots(written("raw"), written("decoded")), "snapshots")
-        for kind, parsed, table in (
-            (VEHICLE_POSITIONS, parsed_vehicle_snapshots, "parsed_vehicles"),
-            (TRIP_UPDATES, parsed_trip_snapshots, "parsed_trips"),
-        ):
-            own = good(written("snapshots")).where(F.col("feed_type").eqNullSafe(kind))
-            write(parsed(own, "path", *DAY), table)
+        snapshots = good(written("snapshots"))
+
+        def of_kind(kind: str) -> DataFrame:
+            return snapshots.where(F.col("feed_type").eqNullSafe(kind))
+
         rows = entities(written("snapshots"), *_KEYS, *DAY)
-        write(project_vehicles(rows, *_KEYS, "entity_pos", *DAY), "vehicles")
-        write(project_trips(rows, *_KEYS, "entity_pos", *DAY), "trips")
+        outputs = {
+            "parsed_vehicles": parsed_vehicle_snapshots(of_kind(VEHICLE_POSITIONS), "path", *DAY),
+            "parsed_trips": parsed_trip_snapshots(of_kind(TRIP_UPDATES), "path", *DAY),
+            "vehicles": project_vehicles(rows, *_KEYS, "entity_pos", *DAY),
+            "trips": project_trips(rows, *_KEYS, "entity_pos", *DAY),
+        }
+        # None of these needs another, so their jobs share the cluster; the first failure
+        # ends the micro-batch once all have stopped.
+        run = inheritable_thread_target(spark)(lambda output: write(outputs[output], output))
+        with ThreadPoolExecutor(len(outputs)) as pool:
+            for done in [pool.submit(run, table) for table in outputs]:
+                done.result()
 
     return (
         raw.writeStream.foreachBatch(take_in)
