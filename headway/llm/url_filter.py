@@ -97,7 +97,7 @@ def judged(
     of one given twice a block wins.  A rule fits its host and all subdomains when the path
     starts with the rule's; more host labels win, then the longer path.  Urls without a rule,
     null urls and urls without ``://`` (empty host and path) get ``default``.  Repeated rows
-    are judged alike; other columns are not read.
+    are judged alike; other columns are not read.  No pages give no rows.
     """
     parted = pages.select("page_id", host().alias("host"), path().alias("path"))
     known = rules.select("host", "path", "verdict").dropna()
@@ -116,34 +116,47 @@ def judged(
     )
 
 
+def _meetings(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Where urls may meet rules: key, _k (host labels), _host, _size, _path (a prefix).
+
+    ``urls`` has key, host and path.  A url meets rules at as many labels as a rule's host can
+    have, and, of each known host, at the lengths that paths of its rules have; so what a url
+    is multiplied by follows from the rules, however long it is.
+    """
+    labels = F.split("host", r"\.")
+    most = rules.agg(F.max(F.size(labels))).first()[0] or 0
+    sizes = rules.groupBy(F.col("host").alias("_host")).agg(F.collect_set(F.length("path")).alias("_sizes"))
+    counts = F.slice(F.sequence(F.lit(1), F.size(labels)), 1, most)
+    suffixes = urls.select("key", "path", labels.alias("_labels"), F.explode(counts).alias("_k")).select(
+        "key", "path", "_k", F.array_join(F.expr("slice(_labels, -_k, _k)"), ".").alias("_host")
+    )
+    return (
+        suffixes.join(sizes, "_host")
+        .select("key", "path", "_k", "_host", F.explode("_sizes").alias("_size"))
+        .where("_size <= length(path)")
+        .select("key", "_k", "_host", "_size", F.expr("substring(path, 1, _size)").alias("_path"))
+    )
+
+
 def _joined(parted: DataFrame, rules: DataFrame) -> DataFrame:
     """The longest match of each different (host, path) by equi-joins.
 
-    A url meets rules at the suffixes of its host and at the prefixes of its path, which are
-    bounded by its own length.
+    A host has no ``/`` and a path starts with one, so both in one name a url; its digest
+    stands for it in the joins.
     """
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    urls = parted.select("host", "path").distinct()
-    suffixes = urls.withColumn("_labels", F.split("host", r"\.")).withColumn(
-        "_k", F.explode(F.sequence(F.lit(1), F.size("_labels")))
-    )
-    suffixes = suffixes.withColumn(
-        "_host", F.array_join(F.expr("slice(_labels, -_k, _k)"), ".")
-    ).join(
-        rules.select(F.col("host").alias("_host")).distinct(), "_host", "left_semi"
-    )
-    prefixes = suffixes.withColumn(
-        "_size", F.explode(F.sequence(F.lit(0), F.length("path")))
-    ).withColumn("_path", F.expr("substring(path, 1, _size)"))
+    keyed = parted.withColumn("key", F.sha2(F.concat("host", "path"), 256))
     renamed = rules.select(
         F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("verdict").alias("_verdict")
     )
+    best = F.struct("_k", "_size", F.concat("_host", "_path").alias("rule"), F.col("_verdict").alias("verdict"))
     found = (
-        prefixes.join(renamed, ["_host", "_path"])
-        .groupBy("host", "path")
-        .agg(F.max(F.struct("_k", "_size", F.concat("_host", "_path").alias("rule"), F.col("_verdict").alias("verdict"))).alias("_found"))
+        _meetings(keyed.select("key", "host", "path").distinct(), rules)
+        .join(renamed, ["_host", "_path"])
+        .groupBy("key")
+        .agg(F.max(best).alias("_found"))
     )
-    return parted.join(found, ["host", "path"], "left")
+    return keyed.join(found, "key", "left")
 
 
 # The rules of the registered query.

@@ -120,6 +120,29 @@ def test_urls_against_brute_force(spark):
                 assert (r["rule"], r["verdict"]) == brute_rule(host, path, [(*k, v) for k, v in known.items()]), url
 
 
+def test_long_urls_meet_as_many_rules_as_there_are_lengths(spark):
+    """What a url is multiplied by follows from the rules, not from its own length."""
+    paths = ["/" + "a/" * k for k in (1, 5, 40)]
+    given = [("org", path, "block") for path in paths] + [("b.org", "/", "allow")]
+    long = "http://" + "x." * 3000 + "org/" + "a/" * 30_000
+    pages = spark.createDataFrame(
+        [(1, long, "h", 1), (2, long, "h", 2), (3, "http://a.b.org/" + "a/" * 4 + "c", None, 3), (4, None, "h", 4)],
+        "page_id long, url string, host string, key long",
+    )
+    frame = spark.createDataFrame(given, "host string, path string, verdict string")
+    shown = [sorted(map(tuple, url_filter.judged(pages, frame, trie_rules=n).collect())) for n in (100, 0)]
+    assert shown[0] == shown[1]
+    assert [row[3:] for row in shown[0]] == [
+        ("org" + paths[2], "block"), ("org" + paths[2], "block"), ("b.org/", "allow"), (None, "allow"),
+    ]
+    parted = pages.select("page_id", url_filter.host().alias("host"), url_filter.path().alias("path"))
+    met = url_filter._meetings(parted.selectExpr("page_id as key", "host", "path"), frame).where("key = 1")
+    assert met.count() == len(paths) and met.selectExpr("max(length(_path))").first()[0] == len(paths[-1])
+    for bound in (100, 0):
+        assert url_filter.judged(pages.limit(0), frame, trie_rules=bound).count() == 0
+        assert url_filter.judged(pages, frame.limit(0), trie_rules=bound).where("rule is null").count() == 4
+
+
 def test_branches_are_ranked(spark):
     #      1 -> 2 -> 4   and   1 -> 3; 9 has a parent that is not there
     nodes = [
