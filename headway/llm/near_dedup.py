@@ -4,13 +4,14 @@ A document's set holds its distinct five-word shingles as 64-bit hashes.  Docume
 equal sets form one class.  The classes' minima are banded; the members of a bucket are
 compared with the bucket's smallest class first, by signature and then on full sets, and
 the links joined into components.  Buckets that still hold several components have their
-members compared across components, in blocks that emit links only; so no link that
-banding offers between components is lost, and members already joined are not compared.
+members compared across components, crowded ones where their sets share a rare shingle; so
+no link that banding offers between components is lost, and members already joined are not
+compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,9 @@ MARGIN = 0.22
 # Members of a bucket that one task compares with each other, or with as many others.
 BLOCK = 1000
 
+# Slots of the histogram that orders shingles from rare to frequent.
+SLOTS = 1 << 20
+
 # Pairs of one node that meet one copy of its value.
 SPLIT = 500
 
@@ -255,14 +259,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _across(crowded: DataFrame, joined: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of nodes that share a bucket and lie in different components so far.
 
-    The members of such a bucket are compared in blocks, a bucket of many members dealt over
-    block pairs.  Signatures are dealt first and say which nodes have a pair that may be a
-    link; the sets of these alone are dealt again, and only links leave a task.
+    The members of such a bucket are compared with each other, if they are up to BLOCK.
+    Members of a larger bucket meet at the shingles of their prefixes instead (``_meetings``).
     """
     placed = crowded.select("bucket", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    mixed = (
+    rest = stored(placed.join(_mixed_buckets(placed), "bucket"), "near-mixed")
+    few = _links_within(rest.where("blocks = 1"), sketches, texts, "near-mixed")
+    crowd = stored(
+        rest.where("blocks > 1").select(F.col("node").alias("doc_id"), "component").distinct(),
+        "near-crowd",
+    )
+    if crowd.isEmpty():
+        return few
+    sets = _sets_of(texts, crowd.select("doc_id"), "near-crowd-sets")
+    meetings = _meetings(sets, crowd)
+    many = _links_within(meetings, sketches, texts, "near-meetings")
+    return few.unionByName(many)
+
+
+def _mixed_buckets(placed: DataFrame) -> DataFrame:
+    """Buckets with members of several components, and in how many blocks they are compared."""
+    return (
         placed.groupBy("bucket")
         .agg(
             F.min("component").alias("low"),
@@ -272,69 +291,143 @@ def _across(crowded: DataFrame, joined: DataFrame, sketches: DataFrame, texts: D
         .where("low < high")
         .select("bucket", "blocks")
     )
-    rest = stored(placed.join(mixed, "bucket"), "near-mixed")
+
+
+def _meetings(sets: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Members of crowded buckets by the shingles at which a linked pair has to meet.
+
+    With shingles in one order for all sets, a linked pair shares a shingle among the first
+    seventh of its smaller set and the first quarter of its larger one, so no link is lost.
+    Rare shingles come first; so documents that have only a template in common, which is
+    frequent, do not meet.  The order is that of a histogram of fixed size, whatever the input.
+    """
+    counted = sets.mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # at most SLOTS rows
+    counts = np.zeros(SLOTS, np.uint32)
+    counts[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), 2**32 - 1)
+    placed = sets.join(crowd.select(F.col("doc_id").alias("node"), "component"), "node")
+    prefixes = stored(
+        placed.select("node", "component", "shingles").mapInArrow(
+            _prefixes(counts), "bucket long, node long, component long, size long, indexed boolean"
+        ),
+        "near-prefixes",
+    )
+    open_ = prefixes.groupBy("bucket").agg(F.max("indexed").alias("any")).where("any").select("bucket")
+    shared = stored(_mixed_buckets(prefixes).join(open_, "bucket"), "near-shared")
+    return stored(prefixes.join(bounded(shared), "bucket"), "near-meetings")
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        hashes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+        counts += np.bincount((hashes % SLOTS).astype(np.int64), minlength=SLOTS)
+    slots = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], names=["slot", "n"])
+
+
+def _prefixes(counts: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts, lengths, sizes, indexed = [np.empty(0, np.uint64)], [], [], [np.empty(0, bool)]
+            for shingles in batch.column(2):
+                hashes = np.frombuffer(shingles.as_py(), np.uint64)
+                size = len(hashes)
+                length = size - -(-PERCENT * size // 100) + 1
+                smaller = size - -(-2 * PERCENT * size // (100 + PERCENT)) + 1
+                order = np.lexsort((hashes, counts[(hashes % SLOTS).astype(np.int64)]))
+                firsts.append(hashes[order[:length]])
+                lengths.append(length)
+                sizes.append(size)
+                indexed.append(np.arange(length) < smaller)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(firsts).view(np.int64)),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), lengths)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(), lengths)),
+                    pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
+                    pa.array(np.concatenate(indexed)),
+                ],
+                names=["bucket", "node", "component", "size", "indexed"],
+            )
+
+    return prefixes
+
+
+def _links_within(rest: DataFrame, sketches: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+    """Links across components within the buckets of ``rest``, in blocks dealt over block pairs.
+
+    Signatures are dealt first and say which nodes have a pair that may be a link; the sets of
+    these alone are dealt again, and only links leave a task.
+    """
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = (
         rest.join(sketches, "node")
-        .withColumn("_own", F.expr("pmod(xxhash64(node), blocks)"))
+        .withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
         .withColumn("_other", other)
-        .select(
-            "bucket",
-            F.least("_own", "_other").alias("one"),
-            F.greatest("_own", "_other").alias("two"),
-            F.col("_own").alias("own"),
-            "node",
-            "component",
-            "signature",
-        )
+        .withColumn("one", F.least("own", "_other"))
+        .withColumn("two", F.greatest("own", "_other"))
+        .drop("_other", "blocks")
     )
     promising = stored(
-        dealt.groupBy("bucket", "one", "two").applyInArrow(
-            _promising, "bucket long, one long, two long, own long, node long, component long, signature binary"
-        ),
-        "near-promising",
+        dealt.groupBy("bucket", "one", "two").applyInArrow(_promising, dealt.schema),
+        f"{label}-promising",
     )
-    wanted = stored(promising.select(F.col("node").alias("doc_id")).distinct(), "near-mixed-wanted")
-    sets = _sets_of(texts, wanted, "near-mixed-sets")
+    wanted = stored(promising.select(F.col("node").alias("doc_id")).distinct(), f"{label}-wanted")
+    sets = _sets_of(texts, wanted, f"{label}-sets")
     found = (
         promising.join(sets, "node").groupBy("bucket", "one", "two").applyInArrow(_block, "a long, b long")
     )
-    return stored(found.distinct(), "near-rest-links")
+    return stored(found.distinct(), f"{label}-links")
 
 
 def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """Pairs across components, within a block or between the two, whose signatures allow a link.
-
-    A pair belongs to the first band in which it agrees, so it is verified in one bucket.
-    """
+    """Pairs across components, within a block or between the two, whose signatures allow a link."""
     nodes = group.num_rows
     places = group.column("component").to_numpy()
     own = group.column("own").to_numpy()
     between = group.column("one")[0].as_py() != group.column("two")[0].as_py()
     minima = np.stack([np.frombuffer(x.as_py(), np.uint32) for x in group.column("signature")])
-    bands = minima.reshape(nodes, BANDS, ROWS)
-    band = int((bands == bands[:1]).all(axis=(0, 2)).argmax())
+    belongs = _by_prefix(group) if "indexed" in group.column_names else _by_band(minima)
     least = (PERCENT / 100 - MARGIN) * BANDS * ROWS
     for i in range(nodes - 1):
         later = np.arange(i + 1, nodes)
         later = later[places[later] != places[i]]
         if between:
             later = later[own[later] != own[i]]
-        common = (minima[later] == minima[i]).sum(axis=1)
-        later = later[common >= least]
-        later = later[(bands[later] == bands[i]).all(axis=2).argmax(axis=1) == band]
+        later = later[(minima[later] == minima[i]).sum(axis=1) >= least]
+        later = belongs(i, later)
         if len(later):
             yield i, later
 
 
+def _by_band(minima: np.ndarray) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A pair belongs to the first band in which it agrees, so it is verified in one bucket."""
+    bands = minima.reshape(len(minima), BANDS, ROWS)
+    band = int((bands == bands[:1]).all(axis=(0, 2)).argmax())
+    return lambda i, later: later[(bands[later] == bands[i]).all(axis=2).argmax(axis=1) == band]
+
+
+def _by_prefix(group: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A pair meets where the shingle is among the first seventh of its smaller set."""
+    sizes = group.column("size").to_numpy()
+    indexed = group.column("indexed").to_numpy()
+
+    def belongs(i: int, later: np.ndarray) -> np.ndarray:
+        met = np.where(sizes[later] < sizes[i], indexed[later], indexed[i])
+        small, large = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
+        return later[met & (100 * small >= PERCENT * large)]
+
+    return belongs
+
+
 def _promising(group: pa.Table) -> pa.Table:
     """The rows of a block pair that are part of any candidate."""
     kept = np.zeros(group.num_rows, bool)
     for i, later in _candidates(group):
         kept[i] = True
         kept[later] = True
-    columns = ["bucket", "one", "two", "own", "node", "component", "signature"]
-    return group.select(columns).filter(pa.array(kept))
+    return group.filter(pa.array(kept))
 
 
 def _block(group: pa.Table) -> pa.Table:

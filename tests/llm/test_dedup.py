@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from headway.llm import components, exact_dedup, near_dedup
 from tests.llm.helpers import by_id, documents, nothing, rows
@@ -119,6 +120,55 @@ def test_crowded_buckets_are_dealt_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(texts)
 
 
+def test_crowded_buckets_of_unequal_sizes_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    rng = random.Random(11)
+    template, texts = [f"t{i}" for i in range(80)], {}
+    for n in range(90):
+        own = [f"o{rng.randrange(9)}x{i}" for i in range(rng.randrange(1, 40))]
+        texts[n] = " ".join(template[: rng.randrange(60, 81)] + own)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = near_dedup.near_duplicates(frame).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(texts)
+
+
+def test_every_linked_pair_meets_in_its_prefixes():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 50), replace=False)) for _ in range(120)]
+    sets += [np.sort(rng.choice(one, max(1, int(0.8 * len(one))), replace=False)) for one in sets]
+    counts = np.zeros(near_dedup.SLOTS, np.uint32)
+    np.add.at(counts, (np.concatenate(sets) % near_dedup.SLOTS).astype(np.int64), 1)
+    nodes = np.arange(len(sets))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(nodes), pa.array(nodes), pa.array([one.tobytes() for one in sets], pa.binary())],
+        names=["node", "component", "shingles"],
+    )
+    rows = pa.Table.from_batches(near_dedup._prefixes(counts)([batch])).to_pylist()
+    met = set()
+    for bucket in {r["bucket"] for r in rows}:
+        group = [r for r in rows if r["bucket"] == bucket]
+        belongs = near_dedup._by_prefix(pa.Table.from_pylist(group))
+        for i in range(len(group) - 1):
+            for k in belongs(i, np.arange(i + 1, len(group))):
+                met.add(frozenset((group[i]["node"], group[k]["node"])))
+    linked = 0
+    for i in nodes:
+        for k in nodes[i + 1 :]:
+            common = len(np.intersect1d(sets[i], sets[k]))
+            if 100 * common >= 75 * (len(sets[i]) + len(sets[k]) - common):
+                linked += 1
+                assert frozenset((int(i), int(k))) in met
+    assert linked > 100
+
+
+def test_documents_of_one_template_do_not_meet(spark):
+    texts = [(n, " ".join([f"t{i}" for i in range(60)] + [f"o{n}x{i}" for i in range(16)])) for n in range(40)]
+    sets = spark.createDataFrame([(n, near_dedup.shingle_set(t.encode()).tobytes()) for n, t in texts], "node long, shingles binary")
+    crowd = spark.createDataFrame([(n, n) for n, _ in texts], "doc_id long, component long")
+    assert near_dedup._meetings(sets, crowd).count() == 0
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     found = by_id(near_dedup.near_duplicates(documents(spark)), "doc_id", "component_id", "kept")
     known = {v[0]: v[1:] for v in found}
