@@ -259,16 +259,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _across(crowded: DataFrame, joined: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of nodes that share a bucket and lie in different components so far.
 
-    The members of such a bucket are compared with each other, if they are up to BLOCK.
-    Members of a larger bucket meet at the shingles of their prefixes instead (``_meetings``).
+    The members of such a bucket are compared with each other, or with those outside of its
+    largest component, if either are up to BLOCK.  Members of other buckets meet at the
+    shingles of their prefixes instead (``_meetings``).
     """
     placed = crowded.select("bucket", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     rest = stored(placed.join(_mixed_buckets(placed), "bucket"), "near-mixed")
-    few = _links_within(rest.where("blocks = 1"), sketches, texts, "near-mixed")
+    few = _links_within(rest.where("outer = 1"), sketches, texts, "near-mixed")
     crowd = stored(
-        rest.where("blocks > 1").select(F.col("node").alias("doc_id"), "component").distinct(),
+        rest.where("outer > 1").select(F.col("node").alias("doc_id"), "component").distinct(),
         "near-crowd",
     )
     if crowd.isEmpty():
@@ -280,16 +281,24 @@ def _across(crowded: DataFrame, joined: DataFrame, sketches: DataFrame, texts: D
 
 
 def _mixed_buckets(placed: DataFrame) -> DataFrame:
-    """Buckets with members of several components, and in how many blocks they are compared."""
-    return (
-        placed.groupBy("bucket")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
-        )
-        .where("low < high")
-        .select("bucket", "blocks")
+    """Buckets with members of several components, and in how many blocks they are compared.
+
+    A bucket of up to BLOCK members is one outer block.  In a larger one the members of its
+    largest component are inner blocks, which need not be compared with each other; so a
+    large group of near copies is dealt once for each outer block of the others.
+    """
+    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("n").alias("all"),
+        F.max(F.struct("n", "component")).alias("top"),
+    )
+    large = F.col("all") > BLOCK
+    return whole.where("parts > 1").select(
+        "bucket",
+        F.when(large, F.col("top.component")).alias("largest"),
+        F.when(large, F.ceil((F.col("all") - F.col("top.n")) / BLOCK)).otherwise(1).alias("outer"),
+        F.when(large, F.ceil(F.col("top.n") / BLOCK)).otherwise(0).alias("inner"),
     )
 
 
@@ -360,14 +369,16 @@ def _links_within(rest: DataFrame, sketches: DataFrame, texts: DataFrame, label:
     Signatures are dealt first and say which nodes have a pair that may be a link; the sets of
     these alone are dealt again, and only links leave a task.
     """
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    inside = F.col("component").eqNullSafe(F.col("largest"))
+    own = F.when(inside, F.expr("outer + pmod(xxhash64(node), inner)"))
+    last = F.col("outer") + F.when(inside, F.lit(0)).otherwise(F.col("inner")) - 1
     dealt = (
         rest.join(sketches, "node")
-        .withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
-        .withColumn("_other", other)
+        .withColumn("own", own.otherwise(F.expr("pmod(xxhash64(node), outer)")))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .withColumn("one", F.least("own", "_other"))
         .withColumn("two", F.greatest("own", "_other"))
-        .drop("_other", "blocks")
+        .drop("_other", "largest", "outer", "inner")
     )
     promising = stored(
         dealt.groupBy("bucket", "one", "two").applyInArrow(_promising, dealt.schema),

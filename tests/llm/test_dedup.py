@@ -132,6 +132,15 @@ def test_crowded_buckets_of_unequal_sizes_lose_no_link(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(texts)
 
 
+def test_a_large_component_is_dealt_once_for_few_others(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rows = [(7, n, 0) for n in range(40)] + [(7, 50, 50), (7, 60, 60), (8, 1, 1), (8, 2, 2), (9, 3, 3), (9, 4, 3)]
+    rows += [(10, n, n) for n in range(70, 79)]
+    placed = spark.createDataFrame(rows, "bucket long, node long, component long")
+    found = {r["bucket"]: (r["largest"], r["outer"], r["inner"]) for r in near_dedup._mixed_buckets(placed).collect()}
+    assert found == {7: (0, 1, 10), 8: (None, 1, 0), 10: (78, 2, 1)}
+
+
 def test_every_linked_pair_meets_in_its_prefixes():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 2**63, 60).astype(np.uint64)
