@@ -36,12 +36,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and ids of every text, with whether they decode to it."""
-    return pieces.encode(docs, pieces.load(), n=1).select(
+    """doc_id, best ids and alternatives of every text, with whether the ids decode to it."""
+    return pieces.encode(docs, pieces.load()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         "ids",
         "score",
+        "alternatives",
         "round_trip",
     )
 

@@ -52,3 +52,24 @@ def test_run_against_plain_stages(spark, tmp_path):
         spelled = b"".join(model.spelled[i] for i in r["ids"]).decode()
         assert spelled == model.prefix + texts[r["doc_id"]] and r["round_trip"]
         assert r["n_pieces"] == len(r["ids"])
+
+
+def test_encode_searches_the_next_segmentations(spark):
+    """The stage keeps what the search finds: as many alternatives as op1, none better than the best."""
+    texts = ["some ordinary words of a document", "words again", "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    encoded = corpus_pipeline.encode(spark, docs, "")
+    found = {r["doc_id"]: r for r in encoded.collect()}
+    lattice = pieces.Lattice(pieces.load())
+    for i, text in enumerate(texts):
+        if not text:
+            assert not found[i]["alternatives"]
+            continue
+        expected = lattice.nbest(lattice.pieces.prefix + text, pieces.NBEST)
+        scores = [found[i]["score"], *(way["score"] for way in found[i]["alternatives"])]
+        assert len(scores) == pieces.NBEST
+        assert all(abs(a - b) < 1e-6 * abs(b) for a, (b, _) in zip(scores, expected))
+        for way in found[i]["alternatives"]:
+            ids = pieces.alternative(found[i]["ids"], way["edits"])
+            spelled = b"".join(lattice.pieces.spelled[piece] for piece in ids).decode()
+            assert ids != found[i]["ids"] and spelled == lattice.pieces.prefix + text
