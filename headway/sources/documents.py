@@ -12,7 +12,7 @@ def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) ->
     A document that is no JSON has status ``invalid_json``, its text in ``invalid`` and no
     ``document``; any other is kept whole, whatever its keys.  ``one_per_file`` reads indented
     documents, each a file of its own and one value in memory; otherwise each line is a
-    document, files are split among tasks and blank lines are passed over.  Spark's file
+    document, files are split among tasks unless compressed and blank lines are passed over.  Spark's file
     sources pass over files of length 0.
     """
     text = spark.read.text(path, wholetext=one_per_file)
