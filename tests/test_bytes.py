@@ -11,6 +11,7 @@ from headway.operators.decode import good
 from headway.operators.snapshots import parsed_trip_snapshots
 from headway.plans import fixtures as fix
 from headway.plans import queries
+from headway.schemas import RAW_FILE
 from headway.sinks import files, write_files, write_parsed
 from headway.sinks.tables import write_daily
 from headway.sources import read_parsed, read_raw_stream
@@ -18,6 +19,8 @@ from headway.streaming import ingest, ingest_snapshots, once, read_ingested
 from tests import snapshots as make
 from tests.conftest import DATA
 
+BATCH_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -138,3 +141,33 @@ def test_each_feed_is_decoded_once_for_its_files(spark, monkeypatch):
     empty = [r for r in rows if not r["content"]]
     assert len(rows) - len(empty) == fix.table(spark, DATA, "events").selectExpr("event_id div 100").distinct().count()
     assert empty and all(r["filename"].startswith("empty_") for r in empty)
+
+
+def test_an_ingestion_holds_few_snapshots_at_once(spark, tmp_path, monkeypatch):
+    """Python is sent a few MB of contents, tables of whole snapshots are read a few rows at a time."""
+    (tmp_path / "landing").mkdir()
+    rows = [(f"/l/trip_updates_20251118_1938{n:02d}.pb", None, 1 << 20, bytes([255, n]) * (1 << 19)) for n in range(30)]
+    spark.createDataFrame(rows, RAW_FILE).coalesce(1).write.parquet(str(tmp_path / "landing/p"))
+    read, decode = {}, ingest.decode
+
+    def watched(df):
+        def sized(batches):
+            for batch in batches:
+                assert batch.nbytes < 2 * (8 << 20)
+                yield batch
+
+        return decode(df.mapInArrow(sized, df.schema))
+
+    def written(df, path, **options):
+        read[os.path.basename(path)] = int(df.sparkSession.conf.get(BATCH_ROWS))
+        write_daily(df, path, **options)
+
+    monkeypatch.setattr(ingest, "decode", watched)
+    monkeypatch.setattr(ingest, "write_daily", written)
+    before = {key: spark.conf.get(key) for key in ingest.STREAM_SETTINGS}
+    target = str(tmp_path / "tables")
+    raw = read_raw_stream(spark, str(tmp_path / "landing/p"), "parquet")
+    ingest_snapshots(raw, target, str(tmp_path / "state"), once()).awaitTermination()
+    assert len(read) == 7 and max(read.values()) <= 32
+    assert read_ingested(spark, target, "snapshots").where("decode_error IS NOT NULL").count() == 30
+    assert {key: spark.conf.get(key) for key in before} == before
