@@ -171,3 +171,28 @@ def test_an_ingestion_holds_few_snapshots_at_once(spark, tmp_path, monkeypatch):
     assert len(read) == 7 and max(read.values()) <= 32
     assert read_ingested(spark, target, "snapshots").where("decode_error IS NOT NULL").count() == 30
     assert {key: spark.conf.get(key) for key in before} == before
+
+
+def test_snapshots_are_not_sorted_by_day(spark, feed_message, tmp_path):
+    """Writes of contents of one name each need no sort; more days than open files give the same rows."""
+    (tmp_path / "landing").mkdir()
+    for day in range(10, 17):
+        for second in range(2):
+            for kind, number in (("trip_updates", 1000), ("vehicle_positions", 2000)):
+                both = [make.trip, make.full_vehicle]
+                content = make.feed(feed_message, both, timestamp=number + 10 * day + second)
+                name = f"{kind}_202511{day}_1938{second:02d}.pb"
+                (tmp_path / "landing" / name).write_bytes(content)
+    target = str(tmp_path / "tables")
+    raw = read_raw_stream(spark, str(tmp_path / "landing"))
+    ingest_snapshots(raw, target, str(tmp_path / "state"), once()).awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(n).physicalPlanDescription() for n in range(runs.size())]
+    writes = [text for text in plans if f"{target}/" in text and "InsertIntoHadoopFsRelationCommand" in text]
+    assert len(writes) == 7 and not any("Sort" in text for text in writes)
+    for table, rows in (("raw", 28), ("snapshots", 28), ("parsed_trips", 14), ("parsed_vehicles", 14)):
+        days = read_ingested(spark, target, table).groupBy("day").count().collect()
+        assert {row["day"]: row["count"] for row in days} == {str(day): rows // 7 for day in range(10, 17)}
+    for table in ("trips", "vehicles"):
+        assert read_ingested(spark, target, table).count() == 14
